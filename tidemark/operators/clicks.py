@@ -189,16 +189,16 @@ def aggregate_5m(events: DataFrame, emitted_at: Column, seconds: int = WINDOW_SE
 
 
 def events_5m_latest(aggregates: DataFrame) -> DataFrame:
-    return latest_by(aggregates, ["aggregate_id"], [F.col("version_emitted_at").desc()])
+    return latest_by(aggregates, ["aggregate_id"], ["version_emitted_at"])
 
 
 def events_raw_dedup(events: DataFrame) -> DataFrame:
-    return latest_by(events, ["event_id"], [F.col("ingested_at").desc(), F.col("processing_time").desc()])
+    return latest_by(events, ["event_id"], ["ingested_at", "processing_time"])
 
 
 def first_seen(events: DataFrame) -> DataFrame:
     """Batch form of the stream's deduplication: the earliest copy of each event id."""
-    return latest_by(events, ["event_id"], [F.col("ingested_at").asc()])
+    return latest_by(events, ["event_id"], [], then=[F.col("ingested_at").asc()])
 
 
 def session_funnel(latest_sessions: DataFrame) -> DataFrame:

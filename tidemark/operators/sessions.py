@@ -176,9 +176,9 @@ def _first_events_only(events: DataFrame, assigned: DataFrame, gap_seconds: int,
 
 def session_metrics_latest(versions: DataFrame) -> DataFrame:
     """Latest version per session id; if a gap split the id, the later window wins a tie."""
-    return latest_by(versions, ["session_id"], [F.col("version_emitted_at").desc(), F.col("session_start").desc()])
+    return latest_by(versions, ["session_id"], ["version_emitted_at", "session_start"])
 
 
 def session_window_latest(versions: DataFrame) -> DataFrame:
     """Latest version per session window, so that every window of a split id survives."""
-    return latest_by(versions, ["session_id", "session_start"], [F.col("version_emitted_at").desc()])
+    return latest_by(versions, ["session_id", "session_start"], ["version_emitted_at"])

@@ -14,17 +14,20 @@ from tidemark.functions import UNKNOWN_ID
 def latest_by(
     frame: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    newest: Sequence[str],
+    then: Sequence[Column] = (),
     ties: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key, the first by ``order``; remaining columns (or ``ties``) settle equal ranks.
+    """One row per key: the newest by the ``newest`` columns (nulls last), then by ``then``. Remaining
+    columns (or ``ties``) settle equal ranks, so that a rerun picks the same row.
 
     ``row_number() = 1`` lets Spark keep one row per key in each task before the shuffle
     (WindowGroupLimit), so a key with very many copies does not gather in one place.
     """
     if ties is None:
-        ties = [c for c in frame.columns if c not in keys]
-    ranked = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).desc_nulls_last() for c in ties])
+        ties = [c for c in frame.columns if c not in keys and c not in newest]
+    order = [F.desc_nulls_last(c) for c in newest]
+    ranked = Window.partitionBy(*keys).orderBy(*order, *then, *[F.desc_nulls_last(c) for c in ties])
     return frame.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 

@@ -129,7 +129,7 @@ def dim_users(users: DataFrame, as_of: Column, unique_input: bool = True) -> Dat
     """``unique_input=False`` keeps the most recently updated row per user first; staging output is
     already unique, so the default saves that sort."""
     if not unique_input:
-        users = latest_by(users, ["user_id"], [F.col("updated_at").desc_nulls_last()])
+        users = latest_by(users, ["user_id"], ["updated_at"])
     frame = users.select(
         surrogate_key("user_id").alias("user_key"),
         "user_id", "first_name", "last_name", "email", "age",

@@ -1,4 +1,9 @@
-"""Fact tables. All take current (staged) rows and finished dimensions."""
+"""Fact tables. All take current (staged) rows and finished dimensions.
+
+Each fact is layered: what follows from the row alone, then measures that need a join, then surrogate
+keys. Unique-key left joins neither add nor drop rows, but Catalyst cannot know that, so a query that
+needs no key or no cost starts from the thinner layer.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +20,8 @@ DELAY_DAYS = 5
 LOST_STATUSES = ("Returned", "Cancelled")
 
 
-def _key_of(name: str) -> Column:
-    return F.coalesce(F.col(name), unknown_key()).alias(name)
+def _or_unknown_key(name: str) -> Column:
+    return F.coalesce(F.col(name), unknown_key())
 
 
 def _optional_date_key(name: str) -> Column:
@@ -32,12 +37,10 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(F.coalesce(whole, F.lit(0)) == 0, F.lit(0.0)).otherwise(part.cast("double") / whole.cast("double"))
 
 
-def fact_events(events: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
-    joined = lookup(events, users.select(F.col("user_id").alias("_user"), "user_key"), "user_id", "_user")
-    return joined.select(
-        "event_id",
-        _key_of("user_key"),
-        "user_id", "sequence_number", "session_id",
+def event_visits(events: DataFrame, as_of: Column) -> DataFrame:
+    """The event fact without surrogate keys."""
+    return events.select(
+        "event_id", "user_id", "sequence_number", "session_id",
         date_key(F.col("created_at")).alias("created_date_key"),
         "ip_address", "city", "state", "postal_code", "browser", "traffic_source", "event_type",
         F.coalesce(F.lower(F.trim("event_type")) == "purchase", F.lit(False)).alias("is_checkout_event"),
@@ -48,21 +51,34 @@ def fact_events(events: DataFrame, users: DataFrame, as_of: Column) -> DataFrame
     )
 
 
-def fact_inventory(items: DataFrame, products: DataFrame, centers: DataFrame, as_of: Column) -> DataFrame:
-    joined = lookup(
-        items, products.select(F.col("product_id").alias("_product"), "product_key"),
-        "product_id", "_product", spread_by="inventory_item_id",
-    )
-    joined = lookup(
-        joined, centers.select(F.col("distribution_center_id").alias("_center"), "dc_key"),
-        "product_distribution_center_id", "_center", spread_by="inventory_item_id",
-    )
+def _with_user_key(rows: DataFrame, users: DataFrame) -> DataFrame:
+    joined = lookup(rows, users.select(F.col("user_id").alias("_user"), "user_key"), "user_id", "_user")
+    return joined.withColumn("user_key", _or_unknown_key("user_key"))
+
+
+def _with_product_key(rows: DataFrame, products: DataFrame, spread_by: str | None = None) -> DataFrame:
+    side = products.select(F.col("product_id").alias("_product"), "product_key")
+    joined = lookup(rows, side, "product_id", "_product", spread_by)
+    return joined.withColumn("product_key", _or_unknown_key("product_key"))
+
+
+def _with_center_key(rows: DataFrame, centers: DataFrame, column: str, spread_by: str) -> DataFrame:
+    side = centers.select(F.col("distribution_center_id").alias("_center"), "dc_key")
+    joined = lookup(rows, side, column, "_center", spread_by)
+    return joined.withColumn("dc_key", _or_unknown_key("dc_key"))
+
+
+def fact_events(events: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
+    rows = event_visits(events, as_of)
+    return _with_user_key(rows, users).select("event_id", "user_key", *rows.columns[1:])
+
+
+def stock_measures(items: DataFrame, as_of: Column) -> DataFrame:
+    """The inventory fact without surrogate keys."""
     sold = F.col("sold_at").isNotNull()
-    return joined.select(
+    return items.select(
         "inventory_item_id",
-        _key_of("product_key"),
         "product_id",
-        _key_of("dc_key"),
         F.col("product_distribution_center_id").alias("distribution_center_id"),
         date_key(F.col("created_at")).alias("created_date_key"),
         _optional_date_key("sold_at").alias("sold_date_key"),
@@ -78,72 +94,78 @@ def fact_inventory(items: DataFrame, products: DataFrame, centers: DataFrame, as
     )
 
 
-def fact_order_items(
-    items: DataFrame, inventory: DataFrame, users: DataFrame, products: DataFrame, centers: DataFrame, as_of: Column
-) -> DataFrame:
-    stock = inventory.select(
-        F.col("inventory_item_id").alias("_stock"),
-        F.col("cost").alias("stock_cost"),
-        F.col("product_distribution_center_id").alias("stock_center"),
-    )
-    joined = lookup(items, stock, "inventory_item_id", "_stock", spread_by="order_item_id")
-    joined = lookup(joined, users.select(F.col("user_id").alias("_user"), "user_key"), "user_id", "_user")
-    joined = lookup(
-        joined,
-        products.select(F.col("product_id").alias("_product"), "product_key", F.col("cost").alias("product_cost")),
-        "product_id", "_product",
-    )
-    joined = lookup(
-        joined, centers.select(F.col("distribution_center_id").alias("_center"), "dc_key"),
-        "stock_center", "_center", spread_by="order_item_id",
-    )
-    cost = F.coalesce(F.col("stock_cost"), F.col("product_cost"), F.lit(0).cast(MONEY))
-    profit = (F.col("sale_price") - cost).cast(MONEY)
-    return joined.select(
-        "order_item_id", "order_id",
-        _key_of("user_key"), "user_id",
-        _key_of("product_key"), "product_id",
-        F.coalesce(F.col("inventory_item_id"), F.lit(UNKNOWN_ID).cast("bigint")).alias("inventory_item_id"),
-        _key_of("dc_key"),
+def fact_inventory(items: DataFrame, products: DataFrame, centers: DataFrame, as_of: Column) -> DataFrame:
+    rows = stock_measures(items, as_of)
+    keyed = _with_product_key(rows, products, spread_by="inventory_item_id")
+    keyed = _with_center_key(keyed, centers, "distribution_center_id", spread_by="inventory_item_id")
+    first, product, center, *rest = rows.columns
+    return keyed.select(first, "product_key", product, "dc_key", center, *rest)
+
+
+def item_lines(items: DataFrame, as_of: Column) -> DataFrame:
+    """The order-item fact as far as it follows from the item alone: no cost, no surrogate keys."""
+    return items.select(
+        "order_item_id", "order_id", "user_id", "product_id", "inventory_item_id",
         date_key(F.col("created_at")).alias("created_date_key"),
         *[_optional_date_key(f"{c}_at").alias(f"{c}_date_key") for c in ("shipped", "delivered", "returned")],
         "status",
         F.col("status").isin(*LOST_STATUSES).alias("is_returned"),
         "created_at", "shipped_at", "delivered_at", "returned_at",
         "sale_price",
-        cost.alias("cost"),
-        profit.alias("profit"),
         _last_change().alias("source_updated_at"),
         as_of.alias("dwh_updated_at"),
-        _ratio(profit, F.col("sale_price")).alias("margin_percentage"),
     )
 
 
-def order_totals(order_items: DataFrame) -> DataFrame:
-    return order_items.groupBy("order_id").agg(
-        F.sum("sale_price").alias("total_revenue"),
-        F.sum("cost").alias("total_cost"),
-        F.sum("profit").alias("gross_margin"),
+def item_measures(items: DataFrame, inventory: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """Item lines with cost, profit and margin (and the stocking center): the cost of the inventory item,
+    else of the product, else zero. ``products`` is the dimension."""
+    stock = inventory.select(
+        F.col("inventory_item_id").alias("_stock"),
+        F.col("cost").alias("_stock_cost"),
+        F.col("product_distribution_center_id").alias("stock_center"),
+    )
+    joined = lookup(item_lines(items, as_of), stock, "inventory_item_id", "_stock", spread_by="order_item_id")
+    side = products.select(
+        F.col("product_id").alias("_product"), F.col("product_key").alias("_product_key"), F.col("cost").alias("_product_cost")
+    )
+    joined = lookup(joined, side, "product_id", "_product")
+    profit = (F.col("sale_price") - F.col("cost")).cast(MONEY)
+    return (
+        joined.withColumn("cost", F.coalesce(F.col("_stock_cost"), F.col("_product_cost"), F.lit(0).cast(MONEY)))
+        .withColumn("profit", profit)
+        .withColumn("margin_percentage", _ratio(F.col("profit"), F.col("sale_price")))
+        .withColumn("product_key", _or_unknown_key("_product_key"))
+        .drop("_stock_cost", "_product_cost", "_product_key")
     )
 
 
-def fact_orders(orders: DataFrame, order_items: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
-    """``order_items`` is the order-item fact. Carries ``cdc_timestamp`` so that an incremental run has a
-    watermark to read back."""
-    joined = lookup(orders, users.select(F.col("user_id").alias("_user"), "user_key"), "user_id", "_user")
-    totals = order_totals(order_items).withColumnRenamed("order_id", "_order")
-    joined = lookup(joined, totals, "order_id", "_order")
-    money = {c: F.coalesce(F.col(c), F.lit(0).cast(MONEY)) for c in ("total_revenue", "total_cost", "gross_margin")}
+def fact_order_items(
+    items: DataFrame, inventory: DataFrame, users: DataFrame, products: DataFrame, centers: DataFrame, as_of: Column
+) -> DataFrame:
+    rows = item_measures(items, inventory, products, as_of)
+    keyed = _with_user_key(rows, users)
+    keyed = _with_center_key(keyed, centers, "stock_center", spread_by="order_item_id")
+    return keyed.select(
+        "order_item_id", "order_id", "user_key", "user_id", "product_key", "product_id",
+        F.coalesce(F.col("inventory_item_id"), F.lit(UNKNOWN_ID).cast("bigint")).alias("inventory_item_id"),
+        "dc_key", "created_date_key", "shipped_date_key", "delivered_date_key", "returned_date_key",
+        "status", "is_returned", "created_at", "shipped_at", "delivered_at", "returned_at",
+        "sale_price", "cost", "profit", "source_updated_at", "dwh_updated_at", "margin_percentage",
+    )
+
+
+def order_headers(orders: DataFrame, as_of: Column) -> DataFrame:
+    """The order fact as far as it follows from the header alone: no money, no surrogate key. Carries
+    ``cdc_timestamp`` so that an incremental run has a watermark to read back."""
     delivery_days = whole_days(F.col("shipped_at"), F.col("delivered_at"))
-    return joined.select(
-        "order_id", _key_of("user_key"), "user_id", "status",
+    return orders.select(
+        "order_id", "user_id", "status",
         date_key(F.col("created_at")).alias("created_date_key"),
         *[_optional_date_key(f"{c}_at").alias(f"{c}_date_key") for c in ("shipped", "delivered", "returned")],
         "created_at", "shipped_at", "delivered_at", "returned_at", "num_of_item",
         _last_change().alias("source_updated_at"),
         as_of.alias("dwh_updated_at"),
-        *[value.alias(name) for name, value in money.items()],
-        _ratio(money["gross_margin"], F.col("total_revenue")).alias("margin_percentage"),
         whole_days(F.col("created_at"), F.col("shipped_at")).alias("shipping_duration_days"),
         delivery_days.alias("delivery_duration_days"),
         whole_days(F.col("created_at"), F.col("delivered_at")).alias("order_duration_days"),
@@ -151,3 +173,32 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, users: DataFrame, as_
         F.coalesce(delivery_days > DELAY_DAYS, F.lit(False)).alias("is_delayed"),
         "cdc_timestamp",
     )
+
+
+def order_totals(order_items: DataFrame) -> DataFrame:
+    return order_items.groupBy("order_id").agg(
+        F.sum("sale_price").alias("total_revenue"),
+        F.sum("cost").alias("total_cost"),
+        F.sum("profit").alias("gross_margin"),
+    )
+
+
+def order_measures(orders: DataFrame, order_items: DataFrame, as_of: Column) -> DataFrame:
+    """Order headers with the money of their items; ``order_items`` has cost and profit."""
+    totals = order_totals(order_items).withColumnRenamed("order_id", "_order")
+    joined = lookup(order_headers(orders, as_of), totals, "order_id", "_order")
+    money = {c: F.coalesce(F.col(c), F.lit(0).cast(MONEY)) for c in ("total_revenue", "total_cost", "gross_margin")}
+    return joined.withColumns(money).withColumn(
+        "margin_percentage", _ratio(F.col("gross_margin"), F.col("total_revenue"))
+    )
+
+
+def fact_orders(orders: DataFrame, order_items: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
+    return _with_user_key(order_measures(orders, order_items, as_of), users).select(
+        "order_id", "user_key", "user_id", "status",
+        "created_date_key", "shipped_date_key", "delivered_date_key", "returned_date_key",
+        "created_at", "shipped_at", "delivered_at", "returned_at", "num_of_item",
+        "source_updated_at", "dwh_updated_at", "total_revenue", "total_cost", "gross_margin", "margin_percentage",
+        "shipping_duration_days", "delivery_duration_days", "order_duration_days", "order_type", "is_delayed",
+        "cdc_timestamp",
+    )

@@ -42,11 +42,11 @@ def _items(order_items: DataFrame, start, end) -> DataFrame:
     return order_items.where(between_dates("created_at", start, end))
 
 
-def _by_product(order_items: DataFrame, products: DataFrame, start, end, brands: Brands, *more: Column) -> DataFrame:
-    """Revenue, margin and items per product (and ``more`` keys), with the product's attributes."""
+def _by_product(order_items: DataFrame, products: DataFrame, start, end, brands: Brands) -> DataFrame:
+    """Revenue, margin and items per product, with the product's attributes."""
     reduced = (
         _items(order_items, start, end)
-        .groupBy("product_id", *more)
+        .groupBy("product_id")
         .agg(F.sum("sale_price").alias("revenue"), F.sum("profit").alias("margin"), F.count("*").alias("items"))
     )
     return reduced.join(_of_brands(products, brands), "product_id")
@@ -192,9 +192,13 @@ def department_performance(order_items, products, start, end, brands: Brands = N
 
 
 def _trend(order_items, products, label: Column, name: str, start, end, brands: Brands) -> DataFrame:
-    day = F.to_date("created_at").alias("date")
+    reduced = (
+        _items(order_items, start, end)
+        .groupBy("product_id", F.to_date("created_at").alias("date"))
+        .agg(F.sum("sale_price").alias("revenue"))
+    )
     return (
-        _by_product(order_items, products, start, end, brands, day)
+        reduced.join(_of_brands(products, brands), "product_id")
         .groupBy("date", label.alias(name))
         .agg(F.sum("revenue").alias("revenue"))
         .orderBy("date", name)

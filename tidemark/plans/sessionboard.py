@@ -60,9 +60,9 @@ def session_flow_health(sessions, versions, start, end, as_of: Column, sources:
     )
 
 
-def _hourly(sessions, start, end, sources: Sources, **measures: Column) -> DataFrame:
+def _hourly(frame, start, end, sources: Sources, **measures: Column) -> DataFrame:
     hour = F.date_trunc("hour", "session_start").alias("session_hour")
-    grouped = _in_range(sessions, start, end, sources).groupBy(hour)
+    grouped = _in_range(frame, start, end, sources).groupBy(hour)
     return grouped.agg(*[m.alias(name) for name, m in measures.items()]).orderBy("session_hour")
 
 

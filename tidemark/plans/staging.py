@@ -22,13 +22,13 @@ def _is_live() -> Column:
 
 
 def _current(
-    frame: DataFrame, key: str, deletes: str, drop_deletes_first: bool, extra_order: tuple[Column, ...] = ()
+    frame: DataFrame, key: str, deletes: str, drop_deletes_first: bool, newest: tuple[str, ...] = ("cdc_timestamp",)
 ) -> DataFrame:
     if deletes not in ("ignore", "tombstone"):
         raise ValueError(f"deletes must be 'ignore' or 'tombstone', not {deletes!r}")
     if deletes == "ignore" and drop_deletes_first:
         frame = frame.where(_is_live())
-    latest = latest_by(frame, [key], [F.col("cdc_timestamp").desc_nulls_last(), *extra_order])
+    latest = latest_by(frame, [key], newest)
     return latest.where(_is_live()) if deletes == "tombstone" else latest
 
 
@@ -108,7 +108,7 @@ def stg_order_items(bronze: DataFrame, deletes: str = "ignore") -> DataFrame:
         " AND sale_price >= 0 AND created_at IS NOT NULL"
     )
     return _current(
-        typed, "order_item_id", deletes, drop_deletes_first=True, extra_order=(F.col("created_at").desc(),)
+        typed, "order_item_id", deletes, drop_deletes_first=True, newest=("cdc_timestamp", "created_at")
     )
 
 

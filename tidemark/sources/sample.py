@@ -1,68 +1,68 @@
 """Sample tables → the shapes the library works on (rules in FIXTURES.md §4).
 
 Every rule is a per-row projection (one dimension lookup for users), so a consumer pays only for the
-columns it reads; nothing here groups or sorts.
+columns it reads; nothing here groups or sorts. The functions accept a stream of the events table too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed values of the rules.
 DAY_MS = 86_400_000
 MISSING = 1_000_000_000  # added to a foreign key to make it dangle
+CHANNELS = "array('Search', 'Organic', 'Email', 'Facebook', 'Display')"
+BROWSERS = "array('Chrome', 'Firefox', 'Safari', 'IE', 'Other')"
+DAY0 = "TIMESTAMP '1995-01-01 00:00:00'"
+NEW_STOCK_DAY = "TIMESTAMP '2001-01-01 00:00:00'"
 
-# Fixed values of the rules.
-CHANNELS = ("Search", "Organic", "Email", "Facebook", "Display")
-BROWSERS = ("Chrome", "Firefox", "Safari", "IE", "Other")
-BASE_DAY = "1995-01-01 00:00:00"
-NEW_STOCK_DAY = "2001-01-01 00:00:00"
+
+def _instants(frame: DataFrame) -> DataFrame:
+    """Zone-less timestamps as UTC instants."""
+    bare = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    return frame.withColumns({c: F.col(c).cast("timestamp") for c in bare}) if bare else frame
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    for field in frame.schema.fields:
-        if isinstance(field.dataType, T.TimestampNTZType):
-            frame = frame.withColumn(field.name, F.col(field.name).cast("timestamp"))
-    return frame
+    return _instants(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def _instant(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream."""
+    path = f"{sf_dir}/events.parquet"
+    layout = spark.read.parquet(path).schema
+    # A glob keeps the file source from insisting on a folder.
+    return _instants(spark.readStream.schema(layout).parquet(f"{sf_dir}/events.parque[t]"))
 
 
-def _plus_days(instant: Column, days: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(instant) + days.cast("bigint") * (DAY_MS * 1000))
+def _days(instant: str, days: str) -> str:
+    return f"timestamp_micros(unix_micros({instant}) + bigint({days}) * {DAY_MS * 1000})"
 
 
-def _plus_seconds(instant: Column, seconds: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(instant) + seconds.cast("bigint") * 1_000_000)
+def _seconds(instant: str, seconds: str) -> str:
+    return f"timestamp_micros(unix_micros({instant}) + bigint({seconds}) * 1000000)"
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def _cents(amount: str) -> str:
+    return f"bigint(round({amount} * 100))"
 
 
-def _cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+def _dangling(key: str, every: int) -> str:
+    return f"{key} + IF({key} % {every} = 0, {MISSING}, 0)"
 
 
-def _with_versions(frame: DataFrame, key: Column) -> DataFrame:
+def _with_versions(frame: DataFrame, key: str) -> DataFrame:
     """Create for every key, update for each third, delete for each 97th; ``vday`` = days after creation."""
-    operations = F.array_compact(
-        F.array(F.lit("c"), F.when(key % 3 == 0, F.lit("u")), F.when(key % 97 == 0, F.lit("d")))
-    )
-    return frame.withColumn("op", F.explode(operations)).withColumn(
-        "vday", F.when(F.col("op") == "c", 0).when(F.col("op") == "u", 1).otherwise(2)
+    operations = f"array_compact(array('c', IF({key} % 3 = 0, 'u', NULL), IF({key} % 97 = 0, 'd', NULL)))"
+    return frame.selectExpr("*", f"explode({operations}) AS op").selectExpr(
+        "*", "CASE op WHEN 'c' THEN 0 WHEN 'u' THEN 1 ELSE 2 END AS vday"
     )
 
 
-def _change_columns(base: Column) -> list[Column]:
-    return [
-        (F.unix_millis(base) + F.col("vday") * DAY_MS).alias("cdc_timestamp"),
-        F.col("op").alias("cdc_operation"),
-    ]
+def _change(base: str) -> tuple[str, str]:
+    return f"unix_millis({base}) + vday * {DAY_MS} AS cdc_timestamp", "op AS cdc_operation"
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,257 +72,198 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
         region, nation.n_regionkey == region.r_regionkey
     )
-    ident = F.col("c_custkey")
-    frame = _with_versions(joined, ident).withColumn("base_at", _plus_days(_instant(BASE_DAY), ident % 2000))
-    changed = F.col("op") != "c"
-    return frame.select(
-        ident.alias("id"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.concat(F.lit("user"), ident, F.lit("@example.com")).alias("email"),
-        F.when(ident % 41 != 0, 15 + ident % 60).cast("int").alias("age"),
-        F.when(ident % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.concat(F.lit("State "), "n_nationkey").alias("state"),
-        F.concat(ident, F.lit(" Main Street")).alias("street_address"),
-        F.concat(F.lit("P"), ident % 1000).alias("postal_code"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("country"),
-        (F.col("n_nationkey") * 7 - 84).cast("double").alias("latitude"),
-        (F.col("n_nationkey") * 13 - 150).cast("double").alias("longitude"),
-        _pick(CHANNELS, (ident + F.when(changed, 1).otherwise(0)) % 5).alias("traffic_source"),
-        F.col("base_at").alias("created_at"),
-        F.when(ident % 5 != 0, _plus_days(F.col("base_at"), 30 + F.col("vday"))).alias("updated_at"),
-        *_change_columns(F.col("base_at")),
+    created = _days(DAY0, "c_custkey % 2000")
+    return _with_versions(joined, "c_custkey").selectExpr(
+        "c_custkey AS id",
+        "c_name AS first_name",
+        "c_mktsegment AS last_name",
+        "concat('user', c_custkey, '@example.com') AS email",
+        "int(IF(c_custkey % 41 <> 0, 15 + c_custkey % 60, NULL)) AS age",
+        "IF(c_custkey % 2 = 0, 'F', 'M') AS gender",
+        "concat('State ', n_nationkey) AS state",
+        "concat(c_custkey, ' Main Street') AS street_address",
+        "concat('P', c_custkey % 1000) AS postal_code",
+        "n_name AS city",
+        "r_name AS country",
+        "double(n_nationkey * 7 - 84) AS latitude",
+        "double(n_nationkey * 13 - 150) AS longitude",
+        f"get({CHANNELS}, int((c_custkey + IF(op = 'c', 0, 1)) % 5)) AS traffic_source",
+        f"{created} AS created_at",
+        f"IF(c_custkey % 5 <> 0, {_days(created, '30 + vday')}, NULL) AS updated_at",
+        *_change(created),
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ident = F.col("p_partkey")
-    frame = _with_versions(table(spark, sf_dir, "part"), ident).withColumn(
-        "base_at", _plus_days(_instant(BASE_DAY), ident % 365)
-    )
-    cents = _cents(F.col("p_retailprice"))
-    return frame.select(
-        ident.alias("id"),
-        (cents * 60 / F.lit(10000.0)).alias("cost"),
-        F.col("p_type").alias("category"),
-        F.col("p_name").alias("name"),
-        F.when(ident % 50 == 0, "  ").otherwise(F.col("p_brand")).alias("brand"),
-        F.when(F.col("op") == "c", cents / F.lit(100.0)).otherwise(cents * 110 / F.lit(10000.0)).alias("retail_price"),
-        F.when(F.col("p_size") % 2 == 0, "Men").otherwise("Women").alias("department"),
-        F.concat(F.lit("SKU-"), ident).alias("sku"),
-        (ident % 10).alias("distribution_center_id"),
-        _plus_days(F.col("base_at"), F.col("vday")).alias("updated_at"),
-        *_change_columns(F.col("base_at")),
+    created, cents = _days(DAY0, "p_partkey % 365"), _cents("p_retailprice")
+    return _with_versions(table(spark, sf_dir, "part"), "p_partkey").selectExpr(
+        "p_partkey AS id",
+        f"{cents} * 60 / 10000D AS cost",
+        "p_type AS category",
+        "p_name AS name",
+        "IF(p_partkey % 50 = 0, '  ', p_brand) AS brand",
+        f"IF(op = 'c', {cents} / 100D, {cents} * 110 / 10000D) AS retail_price",
+        "IF(p_size % 2 = 0, 'Men', 'Women') AS department",
+        "concat('SKU-', p_partkey) AS sku",
+        "p_partkey % 10 AS distribution_center_id",
+        f"{_days(created, 'vday')} AS updated_at",
+        *_change(created),
     )
 
 
 def distribution_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ident = F.col("s_suppkey")
-    return _with_versions(table(spark, sf_dir, "supplier"), ident).select(
-        ident.alias("id"),
-        F.when(F.col("op") == "c", F.col("s_name")).otherwise(F.concat("s_name", F.lit(" (moved)"))).alias("name"),
-        (F.col("s_nationkey") * 3 - 30).cast("double").alias("latitude"),
-        (F.col("s_nationkey") * 11 - 120).cast("double").alias("longitude"),
-        *_change_columns(_instant(BASE_DAY)),
+    return _with_versions(table(spark, sf_dir, "supplier"), "s_suppkey").selectExpr(
+        "s_suppkey AS id",
+        "IF(op = 'c', s_name, concat(s_name, ' (moved)')) AS name",
+        "double(s_nationkey * 3 - 30) AS latitude",
+        "double(s_nationkey * 11 - 120) AS longitude",
+        *_change(DAY0),
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ident = F.col("o_orderkey")
-    frame = _with_versions(table(spark, sf_dir, "orders"), ident)
-    created = F.col("o_orderdate")
-    status = (
-        F.when(ident % 11 == 0, "Cancelled")
-        .when(ident % 10 == 0, "Returned")
-        .when(F.col("o_orderstatus") == "F", "Complete")
-        .when(F.col("o_orderstatus") == "O", "Processing")
-        .otherwise("Shipped")
+    base = _with_versions(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
+        "*",
+        "CASE WHEN o_orderkey % 11 = 0 THEN 'Cancelled' WHEN o_orderkey % 10 = 0 THEN 'Returned'"
+        " WHEN o_orderstatus = 'F' THEN 'Complete' WHEN o_orderstatus = 'O' THEN 'Processing' ELSE 'Shipped' END AS status",
     )
-    frame = frame.withColumn("status", status)
-    frame = frame.withColumn(
-        "shipped_at",
-        F.when(F.col("status").isin("Processing", "Cancelled"), F.lit(None).cast("timestamp"))
-        .when(ident % 211 == 0, _plus_days(created, F.lit(-1)))
-        .otherwise(_plus_days(created, ident % 4 + F.col("vday"))),
-    ).withColumn(
-        "delivered_at",
-        F.when(
-            F.col("status").isin("Complete", "Returned") & (ident % 53 != 0),
-            _plus_days(F.col("shipped_at"), ident % 9),
-        ),
+    shipped = base.selectExpr(
+        "*",
+        "CASE WHEN status IN ('Processing', 'Cancelled') THEN NULL"
+        f" WHEN o_orderkey % 211 = 0 THEN {_days('o_orderdate', '-1')}"
+        f" ELSE {_days('o_orderdate', 'o_orderkey % 4 + vday')} END AS shipped_at",
     )
-    return frame.select(
-        ident.alias("order_id"),
-        (F.col("o_custkey") + F.when(F.col("o_custkey") % 89 == 0, MISSING).otherwise(0)).alias("user_id"),
+    delivered = shipped.selectExpr(
+        "*",
+        "CASE WHEN status IN ('Complete', 'Returned') AND o_orderkey % 53 <> 0"
+        f" THEN {_days('shipped_at', 'o_orderkey % 9')} END AS delivered_at",
+    )
+    return delivered.selectExpr(
+        "o_orderkey AS order_id",
+        f"{_dangling('o_custkey', 89)} AS user_id",
         "status",
-        F.when(F.col("o_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-        created.alias("created_at"),
-        _plus_days(created, F.col("vday")).alias("updated_at"),
-        F.when(
-            (F.col("status") == "Returned") & (ident % 70 != 0), _plus_days(F.col("delivered_at"), F.lit(3))
-        ).alias("returned_at"),
+        "IF(o_custkey % 2 = 0, 'F', 'M') AS gender",
+        "o_orderdate AS created_at",
+        f"{_days('o_orderdate', 'vday')} AS updated_at",
+        f"CASE WHEN status = 'Returned' AND o_orderkey % 70 <> 0 THEN {_days('delivered_at', '3')} END AS returned_at",
         "shipped_at",
         "delivered_at",
-        (1 + ident % 7).cast("int").alias("num_of_item"),
-        *_change_columns(created),
-    )
-
-
-def _line_id() -> Column:
-    """63-bit content hash of a line: rows carry no unique key, and ranking them would need one global
-    (or per-order) sort. Identical lines are the same item."""
-    text = F.concat_ws(
-        "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", _cents(F.col("l_quantity")),
-        _cents(F.col("l_extendedprice")), _cents(F.col("l_discount")), _cents(F.col("l_tax")),
-        "l_returnflag", "l_linestatus", F.unix_micros(F.col("l_shipdate")),
+        "int(1 + o_orderkey % 7) AS num_of_item",
+        *_change("o_orderdate"),
     )
-    digest = F.md5(text)
-    high = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-    low = F.conv(F.substring(digest, 16, 1), 16, 10).cast("bigint")
-    return high * 8 + low % 8
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").withColumn("line_id", _line_id())
-
-
-def _line_product() -> Column:
-    part = F.col("l_partkey")
-    return part + F.when(part % 101 == 0, MISSING).otherwise(0)
+    """Lines with ``line_id``, a 63-bit content hash: rows carry no unique key, and ranking them would need
+    one global (or per-order) sort. Identical lines are the same item."""
+    text = (
+        "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,"
+        f" {_cents('l_quantity')}, {_cents('l_extendedprice')}, {_cents('l_discount')}, {_cents('l_tax')},"
+        " l_returnflag, l_linestatus, unix_micros(l_shipdate))"
+    )
+    return (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr("*", f"md5({text}) AS digest")
+        .selectExpr(
+            "*",
+            "bigint(conv(substring(digest, 1, 15), 16, 10)) * 8 + bigint(conv(substring(digest, 16, 1), 16, 10)) % 8"
+            " AS line_id",
+        )
+    )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = _with_versions(_lines(spark, sf_dir), F.col("line_id"))
-    order, created = F.col("l_orderkey"), F.col("l_shipdate")
-    price = _cents(F.col("l_extendedprice")) * (100 - _cents(F.col("l_discount")))
-    status = (
-        F.when(F.col("l_returnflag") == "R", "Returned")
-        .when(F.col("l_returnflag") == "A", "Complete")
-        .when(F.col("l_linestatus") == "O", "Processing")
-        .otherwise("Shipped")
-    )
-    delivered = F.when(
-        F.col("status").isin("Complete", "Returned"), _plus_days(created, 2 + order % 9)
+    price = f"{_cents('l_extendedprice')} * (100 - {_cents('l_discount')})"
+    rows = _with_versions(_lines(spark, sf_dir), "line_id").selectExpr(
+        "*",
+        "CASE WHEN l_returnflag = 'R' THEN 'Returned' WHEN l_returnflag = 'A' THEN 'Complete'"
+        " WHEN l_linestatus = 'O' THEN 'Processing' ELSE 'Shipped' END AS status",
     )
-    buyer = F.col("l_suppkey")
-    return frame.withColumn("status", status).select(
-        F.col("line_id").alias("id"),
-        order.alias("order_id"),
-        (buyer + F.when(buyer % 37 == 0, MISSING).otherwise(0)).alias("user_id"),
-        _line_product().alias("product_id"),
-        F.when(F.col("l_linenumber") != 5, F.col("line_id")).alias("inventory_item_id"),
+    return rows.selectExpr(
+        "line_id AS id",
+        "l_orderkey AS order_id",
+        f"{_dangling('l_suppkey', 37)} AS user_id",
+        f"{_dangling('l_partkey', 101)} AS product_id",
+        "IF(l_linenumber <> 5, line_id, NULL) AS inventory_item_id",
         "status",
-        created.alias("created_at"),
-        _plus_days(created, F.col("vday")).alias("updated_at"),
-        F.when(F.col("status") != "Processing", _plus_days(created, F.lit(1))).alias("shipped_at"),
-        delivered.alias("delivered_at"),
-        F.when(F.col("status") == "Returned", _plus_days(created, 7 + order % 9)).alias("returned_at"),
-        F.when(order % 499 == 0, F.lit(-1.0))
-        .when((order % 50 == 0) & (F.col("l_linenumber") == 3), F.lit(0.0))
-        .when(F.col("op") == "c", price / F.lit(10000.0))
-        .otherwise(price * 9 / F.lit(100000.0))
-        .alias("sale_price"),
-        *_change_columns(created),
+        "l_shipdate AS created_at",
+        f"{_days('l_shipdate', 'vday')} AS updated_at",
+        f"CASE WHEN status <> 'Processing' THEN {_days('l_shipdate', '1')} END AS shipped_at",
+        f"CASE WHEN status IN ('Complete', 'Returned') THEN {_days('l_shipdate', '2 + l_orderkey % 9')} END AS delivered_at",
+        f"CASE WHEN status = 'Returned' THEN {_days('l_shipdate', '7 + l_orderkey % 9')} END AS returned_at",
+        "CASE WHEN l_orderkey % 499 = 0 THEN -1D WHEN l_orderkey % 50 = 0 AND l_linenumber = 3 THEN 0D"
+        f" WHEN op = 'c' THEN {price} / 10000D ELSE ({price} * 9 div 10) / 10000D END AS sale_price",
+        *_change("l_shipdate"),
     )
 
 
-def _stock_columns(ident: Column, product: Column, part: Column, center: Column) -> list[Column]:
-    return [
-        ident.alias("id"),
-        product.alias("product_id"),
-        F.col("created_at"),
-        F.col("sold_at"),
-        F.col("cost"),
-        F.concat(F.lit("Category "), part % 25).alias("product_category"),
-        F.concat(F.lit("Product "), part).alias("product_name"),
-        F.concat(F.lit("Brand "), part % 40).alias("product_brand"),
-        (900 + part % 1000).cast("double").alias("product_retail_price"),
-        F.when(part % 2 == 0, "Men").otherwise("Women").alias("product_department"),
-        F.concat(F.lit("SKU-"), part).alias("product_sku"),
-        center.alias("product_distribution_center_id"),
-    ]
+_STOCK = (
+    "id", "product_id", "created_at", "sold_at", "cost",
+    "concat('Category ', part % 25) AS product_category",
+    "concat('Product ', part) AS product_name",
+    "concat('Brand ', part % 40) AS product_brand",
+    "double(900 + part % 1000) AS product_retail_price",
+    "IF(part % 2 = 0, 'Men', 'Women') AS product_department",
+    "concat('SKU-', part) AS product_sku",
+    "center AS product_distribution_center_id",
+)
 
 
 def inventory_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sold item per line plus one unsold copy of each part."""
-    lines, center = _lines(spark, sf_dir), F.col("l_suppkey")
-    sold = (
-        _with_versions(lines, F.col("line_id"))
-        .withColumn("created_at", _plus_days(F.col("l_shipdate"), -(F.col("l_partkey") % 120)))
-        .withColumn("sold_at", _plus_days(F.col("l_shipdate"), F.col("l_orderkey") % 50 + F.col("vday")))
-        .withColumn("cost", F.floor(_cents(F.col("l_extendedprice")) * 55 / F.lit(100)).cast("bigint") / F.lit(100.0))
-        .select(
-            *_stock_columns(
-                F.col("line_id"), _line_product(), F.col("l_partkey"),
-                center + F.when(center % 41 == 0, MISSING).otherwise(0),
-            ),
-            *_change_columns(F.col("created_at")),
-        )
+    sold = _with_versions(_lines(spark, sf_dir), "line_id").selectExpr(
+        "line_id AS id", f"{_dangling('l_partkey', 101)} AS product_id", "l_partkey AS part",
+        f"{_days('l_shipdate', '-(l_partkey % 120)')} AS created_at",
+        f"{_days('l_shipdate', 'l_orderkey % 50 + vday')} AS sold_at",
+        f"({_cents('l_extendedprice')} * 55 div 100) / 100D AS cost",
+        f"{_dangling('l_suppkey', 41)} AS center", "op", "vday",
     )
-    part = F.col("p_partkey")
-    unsold = (
-        _with_versions(table(spark, sf_dir, "part"), -10 - part)
-        .withColumn("created_at", _plus_days(_instant(NEW_STOCK_DAY), part % 270))
-        .withColumn("sold_at", F.lit(None).cast("timestamp"))
-        .withColumn("cost", _cents(F.col("p_retailprice")) * 60 / F.lit(10000.0))
-        .select(*_stock_columns(-10 - part, part, part, part % 10), *_change_columns(F.col("created_at")))
+    unsold = _with_versions(
+        table(spark, sf_dir, "part").selectExpr("*", "-10 - p_partkey AS stock_id"), "stock_id"
+    ).selectExpr(
+        "stock_id AS id", "p_partkey AS product_id", "p_partkey AS part",
+        f"{_days(NEW_STOCK_DAY, 'p_partkey % 270')} AS created_at",
+        "CAST(NULL AS TIMESTAMP) AS sold_at",
+        f"{_cents('p_retailprice')} * 60 / 10000D AS cost",
+        "p_partkey % 10 AS center", "op", "vday",
     )
-    return sold.unionByName(unsold)
+    return sold.unionByName(unsold).selectExpr(*_STOCK, *_change("created_at"))
 
 
-def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _visits(events: DataFrame) -> DataFrame:
     """Event rows with the attributes a web visit has; shared by the CDC and the clickstream shape."""
-    frame = table(spark, sf_dir, "events")
-    ident, user = F.col("event_id"), F.col("user_id")
-    kind = (
-        F.when(ident % 29 == 0, "cancel")
-        .when(ident % 31 == 0, "department")
-        .when(F.col("event_type") == "view", "product")
-        .when(F.col("event_type") == "click", "category")
-        .when(F.col("event_type") == "signup", "home")
-        .when(F.col("event_type") == "error", "cart")
-        .otherwise("purchase")
-    )
-    item = F.regexp_extract("props", "([0-9]+)", 1)
-    frame = frame.withColumn("kind", kind)
-    uri = (
-        F.when(ident % 37 == 0, F.lit(None).cast("string"))
-        .when(F.col("kind") == "home", "/")
-        .when(F.col("kind") == "cancel", F.concat(F.lit("/cancel/item/"), item))
-        .when(F.col("kind") == "category", F.concat(F.lit("/category/"), item))
-        .when(F.col("kind") == "department", "/department/Men/category/Jeans%20%26%20Co")
-        .otherwise(F.concat(F.lit("/product/"), item))
+    kinds = events.selectExpr(
+        "*",
+        "CASE WHEN event_id % 29 = 0 THEN 'cancel' WHEN event_id % 31 = 0 THEN 'department'"
+        " WHEN event_type = 'view' THEN 'product' WHEN event_type = 'click' THEN 'category'"
+        " WHEN event_type = 'signup' THEN 'home' WHEN event_type = 'error' THEN 'cart' ELSE 'purchase' END AS kind",
+        "regexp_extract(props, '([0-9]+)', 1) AS item",
     )
-    return frame.select(
-        ident,
-        user,
-        F.col("ts"),
-        (ident % 20).alias("sequence_number"),
-        F.concat(user, F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        F.concat(F.lit("10.0.0."), user % 256).alias("ip_address"),
-        F.when(user % 19 != 0, F.concat(F.lit("City "), user % 30)).alias("city"),
-        F.concat(F.lit("State "), user % 12).alias("state"),
-        F.concat(F.lit("P"), user % 1000).alias("postal_code"),
-        _pick(BROWSERS, ident % 5).alias("browser"),
-        F.when(user % 17 == 0, " ").otherwise(_pick(CHANNELS, user % 5)).alias("traffic_source"),
-        uri.alias("uri"),
-        F.col("kind").alias("event_type"),
+    return kinds.selectExpr(
+        "event_id",
+        "user_id",
+        "ts",
+        "event_id % 20 AS sequence_number",
+        "concat(user_id, '-', date_format(ts, 'yyyyMMdd')) AS session_id",
+        "concat('10.0.0.', user_id % 256) AS ip_address",
+        "IF(user_id % 19 <> 0, concat('City ', user_id % 30), NULL) AS city",
+        "concat('State ', user_id % 12) AS state",
+        "concat('P', user_id % 1000) AS postal_code",
+        f"get({BROWSERS}, int(event_id % 5)) AS browser",
+        f"IF(user_id % 17 = 0, ' ', get({CHANNELS}, int(user_id % 5))) AS traffic_source",
+        "CASE WHEN event_id % 37 = 0 THEN NULL WHEN kind = 'home' THEN '/'"
+        " WHEN kind = 'cancel' THEN concat('/cancel/item/', item) WHEN kind = 'category' THEN concat('/category/', item)"
+        " WHEN kind = 'department' THEN '/department/Men/category/Jeans%20%26%20Co'"
+        " ELSE concat('/product/', item) END AS uri",
+        "kind AS event_type",
     )
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = _with_versions(_visits(spark, sf_dir), F.col("event_id"))
-    return frame.select(
-        F.col("event_id").alias("id"),
-        "user_id",
-        F.col("sequence_number").cast("int").alias("sequence_number"),
-        "session_id",
-        F.col("ts").alias("created_at"),
-        "ip_address", "city", "state", "postal_code",
-        F.when(F.col("op") == "c", F.col("browser")).otherwise("Opera").alias("browser"),
-        "traffic_source", "uri", "event_type",
-        *_change_columns(F.col("ts")),
+    return _with_versions(_visits(table(spark, sf_dir, "events")), "event_id").selectExpr(
+        "event_id AS id", "user_id", "int(sequence_number) AS sequence_number", "session_id", "ts AS created_at",
+        "ip_address", "city", "state", "postal_code", "IF(op = 'c', browser, 'Opera') AS browser", "traffic_source",
+        "uri", "event_type", *_change("ts"),
     )
 
 
@@ -336,54 +277,53 @@ BRONZE = {
     "events": events,
 }
 
+# Each 25th event arrives a second time, two hours later.
+_DELAYS = "explode(array_compact(array(0, IF(event_id % 25 = 1, 7200, NULL)))) AS delay"
+
 
-def valid_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def valid_clicks(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """What parsing :func:`click_messages` must yield, built from typed columns."""
-    ident = F.col("event_id")
-    copies = F.array_compact(F.array(F.lit(0), F.when(ident % 25 == 1, F.lit(7200))))
-    lag = ident % 7 + F.col("delay")
-    frame = _visits(spark, sf_dir).where(ident % 50 != 0).withColumn("delay", F.explode(copies))
-    return frame.select(
-        ident,
-        F.when(ident % 43 != 0, F.col("user_id")).alias("user_id"),
+    source = table(spark, sf_dir, "events") if events is None else events
+    return _visits(source).where("event_id % 50 <> 0").selectExpr("*", _DELAYS).selectExpr(
+        "event_id",
+        "IF(event_id % 43 <> 0, user_id, NULL) AS user_id",
         "sequence_number", "session_id", "ip_address", "city", "state", "postal_code", "browser",
         "traffic_source", "uri", "event_type",
-        F.col("ts").alias("event_timestamp"),
-        F.to_date("ts").alias("event_date"),
-        _plus_seconds(F.col("ts"), lag).alias("ingested_at"),
+        "ts AS event_timestamp",
+        "date(ts) AS event_date",
+        f"{_seconds('ts', 'event_id % 7 + delay')} AS ingested_at",
     )
 
 
-def click_messages(spark: SparkSession, sf_dir: str, only_bad: bool = False) -> DataFrame:
+def click_messages(
+    spark: SparkSession, sf_dir: str, only_bad: bool = False, events: DataFrame | None = None
+) -> DataFrame:
     """JSON payloads as a broker would deliver them (``value``, transport ``timestamp``): each 7th event
     uses the alias keys, each 25th comes twice, each 50th is broken in one of three ways."""
-    ident = F.col("event_id")
-    bad, flavour = ident % 50 == 0, F.floor(ident / 50) % 3
-    visits = _visits(spark, sf_dir)
+    visits = _visits(table(spark, sf_dir, "events") if events is None else events)
     if only_bad:
-        visits = visits.where(bad)
-    copies = F.array_compact(F.array(F.lit(0), F.when(ident % 25 == 1, F.lit(7200))))
-    frame = visits.withColumn("delay", F.explode(copies)).withColumn(
-        "ingested", _plus_seconds(F.col("ts"), ident % 7 + F.col("delay"))
+        visits = visits.where("event_id % 50 = 0")
+    broken = "CASE WHEN event_id % 50 = 0 THEN (event_id div 50) % 3 ELSE -1 END AS flaw"
+    rows = visits.selectExpr("*", broken, _DELAYS).selectExpr(
+        "*", f"{_seconds('ts', 'event_id % 7 + delay')} AS ingested"
     )
 
-    def stamp(column: str) -> Column:
-        return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-
-    common = [
-        F.when(ident % 43 != 0, F.col("user_id")).alias("user_id"),
-        "sequence_number",
-        F.when(bad & (flavour == 1), "").otherwise(F.col("session_id")).alias("session_id"),
-        "ip_address", "city", "state", "postal_code", "browser", "traffic_source", "uri",
-        F.when(bad & (flavour == 0), "teleport").otherwise(F.col("event_type")).alias("event_type"),
-        stamp("ingested").alias("ingested_at"),
-    ]
-    named = F.to_json(F.struct(ident, stamp("ts").alias("event_timestamp"), *common))
-    aliased = F.to_json(F.struct(ident.alias("id"), stamp("ts").alias("created_at"), *common))
-    text = F.when(ident % 7 == 0, aliased).otherwise(named)
-    return frame.select(
-        F.when(bad & (flavour == 2), F.substring(text, 1, 40)).otherwise(text).alias("value"),
-        _plus_seconds(F.col("ingested"), F.lit(1)).alias("timestamp"),
+    def stamp(column: str) -> str:
+        return f"date_format({column}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+
+    common = (
+        "'user_id', IF(event_id % 43 <> 0, user_id, NULL), 'sequence_number', sequence_number,"
+        " 'session_id', IF(flaw = 1, '', session_id), 'ip_address', ip_address, 'city', city, 'state', state,"
+        " 'postal_code', postal_code, 'browser', browser, 'traffic_source', traffic_source, 'uri', uri,"
+        f" 'event_type', IF(flaw = 0, 'teleport', event_type), 'ingested_at', {stamp('ingested')}"
+    )
+    named = f"to_json(named_struct('event_id', event_id, 'event_timestamp', {stamp('ts')}, {common}))"
+    aliased = f"to_json(named_struct('id', event_id, 'created_at', {stamp('ts')}, {common}))"
+    return rows.selectExpr(
+        "*", f"IF(event_id % 7 = 0, {aliased}, {named}) AS text"
+    ).selectExpr(
+        "IF(flaw = 2, substring(text, 1, 40), text) AS value",
+        f"{_seconds('ingested', '1')} AS timestamp",
     )
 
 
@@ -391,29 +331,23 @@ def cdc_messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Change envelopes of one table in the three shapes seen on the wire (wrapped payload, bare payload,
     envelope inside ``value_json``), deletes carrying the ``before`` image. ``timestamp`` = transport time."""
     frame = BRONZE[name](spark, sf_dir)
-    data = [c for c in frame.columns if c not in ("cdc_timestamp", "cdc_operation")]
-    instants = {f.name for f in frame.schema.fields if isinstance(f.dataType, T.TimestampType)}
-    image = F.struct(*[(F.unix_micros(c) if c in instants else F.col(c)).alias(c) for c in data])
-    deleted = F.col("cdc_operation") == "d"
-    key = F.col(data[0])
-    payload = F.struct(
-        F.col("cdc_operation").alias("op"),
-        F.when(key % 5 != 0, F.col("cdc_timestamp")).alias("ts_ms"),
-        F.when(deleted, image).alias("before"),
-        F.when(~deleted, image).alias("after"),
-        F.struct(
-            F.lit(name).alias("table"), F.lit("demo").alias("schema"), F.col("cdc_timestamp").alias("ts_ms")
-        ).alias("source"),
+    fields = [f for f in frame.schema.fields if not f.name.startswith("cdc_")]
+    image = "named_struct(" + ", ".join(
+        f"'{f.name}', " + (f"unix_micros({f.name})" if isinstance(f.dataType, T.TimestampType) else f.name)
+        for f in fields
+    ) + ")"
+    key = fields[0].name
+    payload = (
+        f"named_struct('op', cdc_operation, 'ts_ms', IF({key} % 5 <> 0, cdc_timestamp, NULL),"
+        f" 'before', IF(cdc_operation = 'd', {image}, NULL), 'after', IF(cdc_operation <> 'd', {image}, NULL),"
+        f" 'source', named_struct('table', '{name}', 'schema', 'demo', 'ts_ms', cdc_timestamp))"
     )
-    wrapped = F.to_json(F.struct(payload.alias("payload")))
-    shape = F.abs(key) % 3
-    text = (
-        F.when(shape == 0, wrapped)
-        .when(shape == 1, F.to_json(payload))
-        .otherwise(F.to_json(F.struct(wrapped.alias("value_json"))))
+    rows = frame.selectExpr(f"abs({key}) % 3 AS shape", "cdc_timestamp", f"{payload} AS payload").selectExpr(
+        "*", "to_json(struct(payload)) AS wrapped"
     )
-    return frame.select(
-        text.alias("value"),
-        F.concat(F.lit("server.demo."), F.lit(name)).alias("topic"),
-        F.timestamp_millis("cdc_timestamp").alias("timestamp"),
+    return rows.selectExpr(
+        "CASE shape WHEN 0 THEN wrapped WHEN 1 THEN to_json(payload)"
+        " ELSE to_json(named_struct('value_json', wrapped)) END AS value",
+        f"'server.demo.{name}' AS topic",
+        "timestamp_millis(cdc_timestamp) AS timestamp",
     )
