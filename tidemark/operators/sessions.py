@@ -33,11 +33,14 @@ def cell_start(instant: Column, gap_seconds: int = GAP_SECONDS) -> Column:
 
 
 def session_cells(events: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    return cells_by(events, cell_start(F.col("event_timestamp"), gap_seconds).alias("cell"))
+
+
+def cells_by(events: DataFrame, cell: Column) -> DataFrame:
+    """Counters per session id, interval and category; ``cell`` is the interval's grouping column."""
     kind, page = F.col("event_type"), F.col("page_type")
     category = F.nullif(F.col("product_category"), F.lit(""))
-    return events.groupBy(
-        "session_id", cell_start(F.col("event_timestamp"), gap_seconds).alias("cell"), category.alias("product_category")
-    ).agg(
+    return events.groupBy("session_id", cell, category.alias("product_category")).agg(
         F.min("event_timestamp").alias("first_at"),
         F.max("event_timestamp").alias("last_at"),
         _first_event().alias("first_event"),
@@ -50,16 +53,6 @@ def session_cells(events: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFram
     )
 
 
-def merge_cells(cells: DataFrame) -> DataFrame:
-    """Add up cells of several batches."""
-    return cells.groupBy(*CELL_KEYS).agg(
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-        F.min("first_event").alias("first_event"),
-        *[F.sum(c).alias(c) for c in _COUNTS],
-    )
-
-
 def assign_sessions(cells: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     """Adds ``session_cell``: the first cell of the session a cell belongs to."""
     ordered = Window.partitionBy("session_id").orderBy("cell")

@@ -1,5 +1,218 @@
-"""Registered queries that run a job: sinks, sources and streams over the sample tables."""
+"""Registered queries that run a job: sinks, sources and streams over the sample tables.
+
+Every run works in a fresh folder below the shared one.
+"""
 
 from __future__ import annotations
 
-JOBS: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators import clicks, incremental, sessions
+from tidemark.plans import staging
+from tidemark.session import work_path
+from tidemark.sources import readers, sample
+from tidemark.streaming import cdc as cdc_jobs
+from tidemark.streaming import clickstream
+from tidemark.streaming.sinks import finish, start_batches, write_batch
+
+SNAPSHOT_MS = 1_700_000_000_000
+LONG_AGO = 400 * 86_400  # lateness that lets a finished table through as one unordered backlog
+
+
+def _change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = sample.events(spark, sf_dir, sample.event_stream(spark, sf_dir))
+    return sample.cdc_messages(spark, sf_dir, "events", changes)
+
+
+def _click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.valid_clicks(spark, sf_dir, sample.event_stream(spark, sf_dir))
+
+
+def _enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    products = staging.stg_products(sample.products(spark, sf_dir))
+    processed = F.col("ingested_at") + F.expr("INTERVAL 2 SECONDS")
+    return clicks.enrich(_click_stream(spark, sf_dir), products, processed)
+
+
+def sink_hot_events(spark, sf_dir):
+    root = work_path(spark, "hot")
+    for query in cdc_jobs.land_hot(_change_stream(spark, sf_dir), f"{root}/lake", f"{root}/state", unit="micros"):
+        finish(query)
+    return spark.read.parquet(f"{root}/lake/events").drop("date")
+
+
+def sink_cold_parquet(spark, sf_dir):
+    """The event changes routed to the cold path, read back through partition discovery."""
+    root = work_path(spark, "cold")
+    finish(cdc_jobs.land_cold(_change_stream(spark, sf_dir), f"{root}/lake", f"{root}/state", hot=(), unit="micros"))
+    return readers.read_bronze(spark, f"{root}/lake/events").drop("date", "hour", "batch_id")
+
+
+def src_hive_parquet(spark, sf_dir):
+    """Order changes laid out by date and hour, read back with discovered partitions."""
+    root = work_path(spark, "hive")
+    rows = sample.orders(spark, sf_dir)
+    moment = F.timestamp_millis("cdc_timestamp")
+    laid = rows.withColumns({"date": F.to_date(moment), "hour": F.date_format(moment, "HH")})
+    # One writer task per day and slice instead of one open file per day in every task.
+    laid.repartition("date", F.pmod(F.xxhash64("order_id"), F.lit(8))).write.partitionBy("date", "hour").parquet(root)
+    found = readers.read_bronze(spark, root)
+    return found.groupBy("date").agg(F.count("*").alias("changes"), F.count_distinct("order_id").alias("orders"))
+
+
+def sink_raw_replay(spark, sf_dir):
+    root = work_path(spark, "raw")
+    stream = _change_stream(spark, sf_dir)
+    finish(cdc_jobs.land_raw(stream, f"{root}/table", f"{root}/archive", f"{root}/state"))
+    copies = [
+        spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("copy"), "topic", "value_json")
+        for name in ("table", "archive")
+    ]
+    both = copies[0].unionByName(copies[1])
+    return both.groupBy("copy", "topic").agg(F.count("value_json").alias("messages"))
+
+
+def sink_append_table(spark, sf_dir):
+    """Enriched events appended by day; one week read back through the partition filter."""
+    root = work_path(spark, "append")
+    query = start_batches(
+        _enriched_stream(spark, sf_dir), lambda batch, n: write_batch(batch, n, f"{root}/t", ("event_date",)),
+        f"{root}/state", "append_table",
+    )
+    finish(query)
+    week = spark.read.parquet(f"{root}/t").where("event_date BETWEEN DATE'2024-01-08' AND DATE'2024-01-14'")
+    return week.groupBy("event_date", "event_type").agg(F.count("*").alias("events"))
+
+
+def st_stream_split(spark, sf_dir):
+    """Messages through the landing job: valid events and dead letters per reason."""
+    root = work_path(spark, "landing")
+    messages = sample.click_messages(spark, sf_dir, events=sample.event_stream(spark, sf_dir))
+    finish(
+        clickstream.land_messages(
+            messages, f"{root}/events", f"{root}/dead", f"{root}/state", failed_at=F.col("timestamp")
+        )
+    )
+    valid = spark.read.parquet(f"{root}/events").select(F.lit("valid").alias("outcome"))
+    dead = spark.read.parquet(f"{root}/dead").select(F.col("error_message").alias("outcome"))
+    return valid.unionByName(dead).groupBy("outcome").agg(F.count("*").alias("messages"))
+
+
+def st_counters(spark, sf_dir):
+    """The counters the landing job reports with its progress."""
+    root = work_path(spark, "counters")
+    messages = sample.click_messages(spark, sf_dir, events=sample.event_stream(spark, sf_dir))
+    query = finish(clickstream.land_messages(messages, f"{root}/events", f"{root}/dead", f"{root}/state"))
+    seen = [p["observedMetrics"]["clicks"] for p in query.recentProgress if p.get("observedMetrics", {}).get("clicks")]
+    valid, invalid = (sum(int(s[i]) for s in seen) for i in ("valid_events", "invalid_events"))
+    return spark.range(1).select(
+        F.lit(valid).cast("bigint").alias("valid_events"), F.lit(invalid).cast("bigint").alias("invalid_events")
+    )
+
+
+def st_stream_dedup(spark, sf_dir):
+    """Deduplicated, enriched events from the stream; which copy of an event survives is not fixed."""
+    root = work_path(spark, "dedup")
+    products = staging.stg_products(sample.products(spark, sf_dir))
+    query = clickstream.land_events(
+        _click_stream(spark, sf_dir), products, f"{root}/t", f"{root}/state", ttl_seconds=LONG_AGO
+    )
+    finish(query)
+    return spark.read.parquet(f"{root}/t").select(
+        "event_id", "session_id", "event_type", "page_type", "product_id", "product_name", "is_conversion"
+    )
+
+
+def st_stream_5m(spark, sf_dir):
+    """Five-minute aggregates from the stream, latest version of each."""
+    root = work_path(spark, "agg")
+    finish(clickstream.start_aggregates(_enriched_stream(spark, sf_dir), f"{root}/t", f"{root}/state", LONG_AGO))
+    versions = spark.read.parquet(f"{root}/t").drop("batch_id")
+    return clicks.events_5m_latest(versions).drop("version_emitted_at")
+
+
+def st_session_early(spark, sf_dir):
+    """Session metrics from the stream, latest version of each window."""
+    root = work_path(spark, "sessions")
+    finish(
+        clickstream.start_sessions(
+            _enriched_stream(spark, sf_dir), f"{root}/t", f"{root}/cells", f"{root}/state", lateness_seconds=LONG_AGO
+        )
+    )
+    versions = spark.read.parquet(f"{root}/t").drop("batch_id")
+    return sessions.session_window_latest(versions).drop("version_emitted_at", "processed_at")
+
+
+def inc_upsert(spark, sf_dir):
+    """A stored order table of lower-case statuses upserted with the orders created from mid-2000 on."""
+    path = work_path(spark, "upsert-target")
+    rows = staging.stg_orders(sample.orders(spark, sf_dir)).select("order_id", "status", "created_at", "num_of_item")
+    target = rows.where("created_at < TIMESTAMP'2001-01-01'").withColumn("status", F.lower("status"))
+    incremental.write_table(target, path, day="created_at", cluster=("order_id",))
+    delta = rows.where("created_at >= TIMESTAMP'2000-07-01'")
+    incremental.upsert_table(delta, path, ("order_id",), day="created_at")
+    return incremental.read_table(spark, path).drop("part_date")
+
+
+def snap_replace(spark, sf_dir):
+    """A snapshot written twice: the second replaces the first."""
+    path = work_path(spark, "snapshot")
+    rows = readers.snapshot_rows(sample.products(spark, sf_dir).where("cdc_operation = 'c'"), "products", SNAPSHOT_MS)
+    rows.where("id % 2 = 0").write.parquet(path)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).select("id", "retail_price", "cdc_timestamp", "cdc_operation")
+
+
+def src_jdbc_full(spark, sf_dir):
+    """Rows of a full export, from the order headers standing in for the database table."""
+    rows = sample.orders(spark, sf_dir).where("cdc_operation = 'c'")
+    return readers.snapshot_rows(rows, "orders", SNAPSHOT_MS)
+
+
+def src_jdbc_initial(spark, sf_dir):
+    """Rows of an initial load with text dates, some missing."""
+    rows = sample.orders(spark, sf_dir).where("cdc_operation = 'c'").select(
+        "order_id", "status",
+        F.when(F.col("order_id") % 10 != 0, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")).alias("created_at"),
+        F.when(F.col("order_id") % 4 == 0, "n/a").otherwise(F.date_format("shipped_at", "yyyy-MM-dd")).alias("shipped_at"),
+    )
+    return readers.initial_rows(rows, F.lit("2024-02-01 00:00:00").cast("timestamp"), SNAPSHOT_MS)
+
+
+def src_csv_shift(spark, sf_dir):
+    """Orders written as CSV, read back typed and moved by five years."""
+    path = work_path(spark, "csv")
+    columns = ("order_id", "user_id", "status", "created_at", "shipped_at")
+    rows = sample.orders(spark, sf_dir).where("cdc_operation = 'c'").select(*columns)
+    rows.write.option("header", "true").option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    return readers.read_csv(spark, path, "orders", years=5)
+
+
+def src_product_lookup(spark, sf_dir):
+    """The lookup side of the enrichment, from the CSV because the table is missing."""
+    path = work_path(spark, "products")
+    rows = sample.products(spark, sf_dir).where("cdc_operation = 'c'").select("id", "category", "department", "name")
+    rows.write.option("header", "true").csv(f"{path}/csv")
+    found = readers.read_products(spark, f"{path}/table", f"{path}/csv")
+    return clicks.product_lookup(found).withColumnRenamed("_product", "product_id")
+
+
+JOBS = {
+    "sink_hot_events": sink_hot_events,
+    "sink_cold_parquet": sink_cold_parquet,
+    "src_hive_parquet": src_hive_parquet,
+    "sink_raw_replay": sink_raw_replay,
+    "sink_append_table": sink_append_table,
+    "st_stream_split": st_stream_split,
+    "st_counters": st_counters,
+    "st_stream_dedup": st_stream_dedup,
+    "st_stream_5m": st_stream_5m,
+    "st_session_early": st_session_early,
+    "inc_upsert": inc_upsert,
+    "snap_replace": snap_replace,
+    "src_jdbc_full": src_jdbc_full,
+    "src_jdbc_initial": src_jdbc_initial,
+    "src_csv_shift": src_csv_shift,
+    "src_product_lookup": src_product_lookup,
+}

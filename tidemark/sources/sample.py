@@ -259,8 +259,9 @@ def _visits(events: DataFrame) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_versions(_visits(table(spark, sf_dir, "events")), "event_id").selectExpr(
+def events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    source = table(spark, sf_dir, "events") if events is None else events
+    return _with_versions(_visits(source), "event_id").selectExpr(
         "event_id AS id", "user_id", "int(sequence_number) AS sequence_number", "session_id", "ts AS created_at",
         "ip_address", "city", "state", "postal_code", "IF(op = 'c', browser, 'Opera') AS browser", "traffic_source",
         "uri", "event_type", *_change("ts"),
@@ -327,10 +328,10 @@ def click_messages(
     )
 
 
-def cdc_messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def cdc_messages(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame | None = None) -> DataFrame:
     """Change envelopes of one table in the three shapes seen on the wire (wrapped payload, bare payload,
     envelope inside ``value_json``), deletes carrying the ``before`` image. ``timestamp`` = transport time."""
-    frame = BRONZE[name](spark, sf_dir)
+    frame = BRONZE[name](spark, sf_dir) if rows is None else rows
     fields = [f for f in frame.schema.fields if not f.name.startswith("cdc_")]
     image = "named_struct(" + ", ".join(
         f"'{f.name}', " + (f"unix_micros({f.name})" if isinstance(f.dataType, T.TimestampType) else f.name)

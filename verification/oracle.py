@@ -782,6 +782,62 @@ def _checks() -> dict[str, str]:
     }
 
 
+def _jobs() -> dict[str, str]:
+    snapshot = "1700000000000::BIGINT AS cdc_timestamp, 'r' AS cdc_operation"
+    first = "b_orders WHERE cdc_operation = 'c'"
+    return {
+        "sink_hot_events": full("SELECT * FROM b_events"),
+        "sink_cold_parquet": full("SELECT * FROM b_events"),
+        "src_hive_parquet": full(
+            "SELECT make_timestamp(cdc_timestamp * 1000)::DATE AS date, count(*) AS changes,"
+            " count(DISTINCT order_id) AS orders FROM b_orders GROUP BY 1"
+        ),
+        "sink_raw_replay": full(
+            "SELECT unnest(['table', 'archive']) AS copy, 'server.demo.events' AS topic, n AS messages"
+            " FROM (SELECT count(*) AS n FROM b_events)"
+        ),
+        "sink_append_table": full(
+            "SELECT event_date, event_type, count(*) AS events FROM clicks"
+            " WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY ALL"
+        ),
+        "st_stream_split": full(
+            "SELECT 'valid' AS outcome, count(*) AS messages FROM clicks"
+            " UNION ALL SELECT error_message, count(*) FROM events_deadletter GROUP BY 1"
+        ),
+        "st_counters": full(
+            "SELECT (SELECT count(*) FROM clicks) AS valid_events,"
+            " (SELECT count(*) FROM events_deadletter) AS invalid_events"
+        ),
+        "st_stream_dedup": full(
+            "SELECT DISTINCT event_id, session_id, event_type, page_type, product_id, product_name, is_conversion"
+            " FROM events_raw"
+        ),
+        "st_stream_5m": full("SELECT * EXCLUDE (version_emitted_at) FROM events_5m", real="avg_event_lag_seconds"),
+        "st_session_early": full(
+            "SELECT * EXCLUDE (version_emitted_at, processed_at) FROM session_metrics", real="session_duration_seconds"
+        ),
+        "inc_upsert": full(
+            "SELECT order_id, CASE WHEN created_at < TIMESTAMP '2000-07-01' THEN lower(status) ELSE status END AS status,"
+            " created_at, num_of_item FROM stg_orders"
+        ),
+        "snap_replace": full(f"SELECT id, retail_price, {snapshot} FROM b_products WHERE cdc_operation = 'c'", real="retail_price"),
+        "src_jdbc_full": full(f"SELECT * REPLACE ({snapshot.replace('::BIGINT', '')}) FROM {first}"),
+        "src_jdbc_initial": full(
+            "SELECT order_id, status, CASE WHEN order_id % 10 <> 0 THEN created_at ELSE TIMESTAMP '2024-02-01' END AS"
+            " created_at, CASE WHEN order_id % 4 <> 0 THEN shipped_at END AS shipped_at, 'c' AS cdc_operation,"
+            f" 1700000000000::BIGINT AS cdc_timestamp FROM {first}"
+        ),
+        "src_csv_shift": full(
+            "SELECT order_id, user_id, status, created_at + INTERVAL 5 YEAR AS created_at,"
+            f" shipped_at + INTERVAL 5 YEAR AS shipped_at FROM {first}"
+        ),
+        "src_product_lookup": full(
+            "SELECT id AS product_id, category AS product_category, department AS product_department,"
+            " name AS product_name FROM b_products WHERE cdc_operation = 'c'"
+        ),
+    }
+
+
 def _report(which: str) -> str:
     """The declared checks as one statement; their list is data shared with the library."""
     from tidemark.plans.checks import MART_CHECKS, STAGING_CHECKS
@@ -814,5 +870,5 @@ def _report(which: str) -> str:
 def oracles() -> dict[str, str]:
     return {
         **_models(), **_cdc(), **_stream_forms(), **_sales(), **_inventory(), **_clickboard(), **_sessionboard(),
-        **_display(), **_checks(),
+        **_display(), **_checks(), **_jobs(),
     }
