@@ -1,4 +1,4 @@
-"""Arithmetic helpers."""
+"""Arithmetic and evaluation helpers."""
 
 from __future__ import annotations
 
@@ -25,3 +25,10 @@ def band(value: Column, edges: Sequence[tuple[float, str]], last: str) -> tuple[
         label = F.when(below, text) if label is None else label.when(below, text)
         rank = F.when(below, F.lit(position)) if rank is None else rank.when(below, F.lit(position))
     return label.otherwise(last), rank.otherwise(F.lit(len(edges) + 1))
+
+
+def once(value: Column) -> Column:
+    """The same value, computed once per row. Catalyst copies an expression into every filter it pushes
+    below a projection, which for JSON parsing means parsing again per reference; it does not push
+    through a generator."""
+    return F.explode(F.array(value))

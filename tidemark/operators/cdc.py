@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import to_instant
+from tidemark.functions import once, to_instant
 from tidemark.schemas import HOT_TABLES, LAKE_NAMES, SOURCE_TABLES, bronze_schema
 
 # The row images stay JSON text at this stage; a table's own schema is applied when it is projected.
@@ -54,9 +54,9 @@ def lake_table(table: Column) -> Column:
 def parse_cdc(messages: DataFrame) -> DataFrame:
     """Unwrap an envelope in any of its shapes; adds table, schema_name, op, cdc_timestamp, after, before."""
     body = F.from_json("value", _ENVELOPE)
-    frame = messages.withColumn("_body", body)
+    frame = messages.withColumn("_body", once(body))
     has_inner = F.coalesce(F.col("_body.value_json"), F.lit("")) != ""
-    frame = frame.withColumn("_inner", F.when(has_inner, F.from_json("_body.value_json", _INNER)))
+    frame = frame.withColumn("_inner", once(F.when(has_inner, F.from_json("_body.value_json", _INNER))))
 
     def field(path: str) -> Column:
         in_inner = F.when(
@@ -103,7 +103,7 @@ def flatten(parsed: DataFrame, table: str, unit: str = "digits") -> DataFrame:
     lake = LAKE_NAMES.get(table, table)
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in source.fields])
     empty = F.coalesce(F.nullif(F.col("after"), F.lit("{}")), F.col("before"))
-    rows = parsed.where(F.col("table") == lake).withColumn("_image", F.from_json(empty, texts))
+    rows = parsed.where(F.col("table") == lake).withColumn("_image", once(F.from_json(empty, texts)))
 
     def typed(field: T.StructField) -> Column:
         text = F.col(f"_image.{field.name}")

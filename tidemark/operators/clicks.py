@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import iso_text, page_type, parse_iso, safe_divide, uri_product_id
+from tidemark.functions import iso_text, once, page_type, parse_iso, safe_divide, uri_product_id
 from tidemark.operators.shape import latest_by, lookup
 from tidemark.schemas import EVENT_TYPES, EVENTS_RAW
 
@@ -33,7 +33,7 @@ def parse_events(messages: DataFrame) -> DataFrame:
     """
     raw = F.col("value").cast("string")
     body = F.from_json(raw, _MESSAGE, {"columnNameOfCorruptRecord": "_broken"})
-    frame = messages.withColumn("raw_message", raw).withColumn("_m", body)
+    frame = messages.withColumn("raw_message", raw).withColumn("_m", once(body))
 
     def given(name: str, alias: str) -> Column:
         # The alias stands in for an absent key only, not for an explicit null.

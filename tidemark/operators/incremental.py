@@ -52,33 +52,36 @@ def merged(target: DataFrame, delta: DataFrame, *keys: str) -> DataFrame:
     return kept.select(*delta.columns).unionByName(delta)
 
 
-def write_table(frame: DataFrame, path: str, day: str | None = None, cluster: tuple[str, ...] = ()) -> None:
-    """Replace a table. ``day`` names the date or instant column whose date partitions it; rows of a file
-    are sorted by ``cluster`` so that row-group statistics can skip."""
-    placed = _placed(frame, day)
-    if day is not None:
-        # Up to 16 tasks share a day, so that one very large day is not written by a single task.
-        placed = placed.repartition("part_date", F.pmod(F.xxhash64(*_scatter(frame, cluster)), F.lit(16)))
-    if cluster:
-        placed = placed.sortWithinPartitions(*(["part_date"] if day is not None else []), *cluster)
-    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy("part_date") if day is not None else writer).parquet(path)
-
-
-def _scatter(frame: DataFrame, cluster: tuple[str, ...]) -> list[str]:
-    return [f.name for f in frame.schema.fields][:2] + list(cluster)
+def write_table(
+    frame: DataFrame, path: str, day: str | None = None, cluster: tuple[str, ...] = (), grain: str = "day"
+) -> None:
+    """Replace a table. ``day`` names the date or instant column whose date (or first day of its ``grain``)
+    partitions it; rows of a file are sorted by ``cluster`` so that row-group statistics can skip.
+
+    The rebalance hint lets adaptive execution split a very large day over several tasks and put small
+    days together, instead of one task per day.
+    """
+    if day is None:
+        placed = frame.sortWithinPartitions(*cluster) if cluster else frame
+        placed.write.mode("overwrite").parquet(path)
+        return
+    placed = _placed(frame, day, grain).hint("rebalance", "part_date").sortWithinPartitions("part_date", *cluster)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part_date").parquet(path)
 
 
-def _placed(frame: DataFrame, day: str | None) -> DataFrame:
-    return frame if day is None else frame.withColumn("part_date", F.to_date(day))
+def _placed(frame: DataFrame, day: str, grain: str) -> DataFrame:
+    return frame.withColumn("part_date", F.to_date(F.date_trunc(grain, day)))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def upsert_table(delta: DataFrame, path: str, keys: tuple[str, ...], day: str, fixed_day: bool = False) -> int:
-    """Merge ``delta`` into the table at ``path`` (written by :func:`write_table` with ``day``).
+def upsert_table(
+    delta: DataFrame, path: str, keys: tuple[str, ...], day: str, fixed_day: bool = False, grain: str = "day"
+) -> int:
+    """Merge ``delta`` into the table at ``path`` (written by :func:`write_table` with the same ``day`` and
+    ``grain``).
 
     Only touched days are rewritten: those of the delta and, unless a key's day never changes
     (``fixed_day``), those holding an older row of its keys. The new content of these days is written
@@ -87,7 +90,7 @@ def upsert_table(delta: DataFrame, path: str, keys: tuple[str, ...], day: str, f
     """
     spark = delta.sparkSession
     aside = work_path(spark, "upsert")
-    _placed(delta, day).write.parquet(f"{aside}/delta")
+    _placed(delta, day, grain).write.parquet(f"{aside}/delta")
     fresh = spark.read.parquet(f"{aside}/delta")
     target = read_table(spark, path)
     touched = fresh.select("part_date").distinct()
@@ -104,7 +107,8 @@ def upsert_table(delta: DataFrame, path: str, keys: tuple[str, ...], day: str, f
     content.write.parquet(f"{aside}/content")
     content = spark.read.parquet(f"{aside}/content")
     (
-        content.repartition("part_date", F.pmod(F.xxhash64(*keys), F.lit(16)))
+        content.hint("rebalance", "part_date")
+        .sortWithinPartitions("part_date", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("part_date")

@@ -50,13 +50,12 @@ def sink_cold_parquet(spark, sf_dir):
 
 
 def src_hive_parquet(spark, sf_dir):
-    """Order changes laid out by date and hour, read back with discovered partitions."""
+    """Order changes laid out by date and hour of a monthly flush, read back with discovered partitions."""
     root = work_path(spark, "hive")
-    rows = sample.orders(spark, sf_dir)
-    moment = F.timestamp_millis("cdc_timestamp")
-    laid = rows.withColumns({"date": F.to_date(moment), "hour": F.date_format(moment, "HH")})
-    # One writer task per day and slice instead of one open file per day in every task.
-    laid.repartition("date", F.pmod(F.xxhash64("order_id"), F.lit(8))).write.partitionBy("date", "hour").parquet(root)
+    flushed = F.date_trunc("month", F.timestamp_millis("cdc_timestamp"))
+    moments = {"date": F.to_date(flushed), "hour": F.date_format(flushed, "HH")}
+    rows = sample.orders(spark, sf_dir).withColumns(moments)
+    rows.hint("rebalance", "date", "hour").write.partitionBy("date", "hour").parquet(root)
     found = readers.read_bronze(spark, root)
     return found.groupBy("date").agg(F.count("*").alias("changes"), F.count_distinct("order_id").alias("orders"))
 
@@ -149,9 +148,9 @@ def inc_upsert(spark, sf_dir):
     path = work_path(spark, "upsert-target")
     rows = staging.stg_orders(sample.orders(spark, sf_dir)).select("order_id", "status", "created_at", "num_of_item")
     target = rows.where("created_at < TIMESTAMP'2001-01-01'").withColumn("status", F.lower("status"))
-    incremental.write_table(target, path, day="created_at", cluster=("order_id",))
+    incremental.write_table(target, path, day="created_at", cluster=("order_id",), grain="month")
     delta = rows.where("created_at >= TIMESTAMP'2000-07-01'")
-    incremental.upsert_table(delta, path, ("order_id",), day="created_at")
+    incremental.upsert_table(delta, path, ("order_id",), day="created_at", grain="month")
     return incremental.read_table(spark, path).drop("part_date")
 
 

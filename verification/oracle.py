@@ -789,7 +789,7 @@ def _jobs() -> dict[str, str]:
         "sink_hot_events": full("SELECT * FROM b_events"),
         "sink_cold_parquet": full("SELECT * FROM b_events"),
         "src_hive_parquet": full(
-            "SELECT make_timestamp(cdc_timestamp * 1000)::DATE AS date, count(*) AS changes,"
+            "SELECT date_trunc('month', make_timestamp(cdc_timestamp * 1000))::DATE AS date, count(*) AS changes,"
             " count(DISTINCT order_id) AS orders FROM b_orders GROUP BY 1"
         ),
         "sink_raw_replay": full(
