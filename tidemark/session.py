@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; every instant in the library is UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -39,9 +42,7 @@ def work_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    shared = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    return _LOCAL_ROOTS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
 
 
 def work_path(spark: SparkSession, label: str) -> str:
