@@ -8,7 +8,7 @@ Lateness: the five-minute and session jobs drop events later than ``lateness`` b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -173,18 +173,15 @@ def start_sessions(
     """
     def emit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = batch.persist()
+        current = _merge(spark, batch, state, batch_id, gap_seconds, lateness_seconds).persist()
         try:
-            current = _merge(spark, changed, state, batch_id, gap_seconds, lateness_seconds)
-            touched = current.where("touched").select("session_id", "session_cell").distinct()
-            moved = current.drop("touched", "open").join(touched, ["session_id", "session_cell"], "left_semi")
+            moved = current.where("touched").drop("touched", "open")
             rows = sessions.session_metrics(moved, F.current_timestamp())
             write_batch(rows, batch_id, path, ("session_date",))
-            keep = current.where("open").drop("touched", "open", "session_cell")
-            write_batch(keep, batch_id, state)
+            write_batch(current.where("open").drop("touched", "open", "session_cell"), batch_id, state)
             drop_batches(spark, state, batch_id - 1)
         finally:
-            changed.unpersist()
+            current.unpersist()
 
     return start_batches(
         cells(events, gap_seconds, lateness_seconds), emit, checkpoint, "session_metrics", "update", every
@@ -202,13 +199,13 @@ def _merge(
         old = spark.read.schema(changed.schema).parquet(f"{state}/batch_id={previous}")
         both = fresh.unionByName(old.withColumn("touched", F.lit(False)))
         fresh = latest_by(both, [*sessions.CELL_KEYS], ["touched"], ties=["event_count"])
-    newest = fresh.agg(F.max("last_at").alias("newest")).scalar()
-    assigned = sessions.assign_sessions(fresh, gap_seconds)
+    newest = fresh.agg(F.max("last_at")).first()[0]  # one instant
+    session = Window.partitionBy("session_id", "session_cell")
     # An accepted event can lie up to a cell behind the watermark, and must be a gap away.
     silence = F.expr(f"INTERVAL {2 * gap_seconds + lateness_seconds} SECONDS")
-    ends = assigned.groupBy("session_id", "session_cell").agg(F.max("last_at").alias("_end"))
-    return (
-        assigned.join(ends, ["session_id", "session_cell"])
-        .withColumn("open", F.col("_end") + silence >= newest)
-        .drop("_end")
+    return sessions.assign_sessions(fresh, gap_seconds).withColumns(
+        {
+            "touched": F.bool_or("touched").over(session),
+            "open": F.max("last_at").over(session) + silence >= F.lit(newest),
+        }
     )
