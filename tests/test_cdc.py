@@ -62,7 +62,7 @@ def test_routing(spark):
     assert cdc.route_hot(frame, ("events", "unknown")).count() == 2
     topics = spark.createDataFrame([("a.demo.events",), ("a.demo.order_items",), ("a.demo.other",)], "t string")
     assert [r[0] for r in topics.select(cdc.topic_of(F.col("t"))).collect()] == [
-        "thelook_clickstream_events", "thelook-cdc-events", "a.demo.other"
+        "clickstream-events", "cdc-events", "a.demo.other"
     ]
 
 

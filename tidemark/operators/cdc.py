@@ -37,9 +37,9 @@ _ENVELOPE = T.StructType(
 )
 _INNER = T.StructType(_PAYLOAD + [T.StructField("payload", T.StructType(_PAYLOAD))])
 
-# Change topics by source table.
-EVENTS_TOPIC = "thelook_clickstream_events"
-MAIN_TOPIC = "thelook-cdc-events"
+# Default destination topics, and the source tables of the main one (fixed values).
+EVENTS_TOPIC = "clickstream-events"
+MAIN_TOPIC = "cdc-events"
 MAIN_TABLES = ("users", "products", "distribution_centers", "inventory_items", "orders", "order_items")
 
 
@@ -128,12 +128,12 @@ def route_cold(parsed: DataFrame, hot: Sequence[str] = HOT_TABLES) -> DataFrame:
     return parsed.where(~F.col("table").isin(*hot))
 
 
-def topic_of(source_topic: Column) -> Column:
+def topic_of(source_topic: Column, events_topic: str = EVENTS_TOPIC, main_topic: str = MAIN_TOPIC) -> Column:
     """Destination topic of a connector topic ``<server>.<schema>.<table>``; unrouted names stay."""
     main = "|".join(MAIN_TABLES)
     return (
-        F.when(source_topic.rlike(r"^(.*)\.events$"), EVENTS_TOPIC)
-        .when(source_topic.rlike(rf"^(.*)\.({main})$"), MAIN_TOPIC)
+        F.when(source_topic.rlike(r"^(.*)\.events$"), events_topic)
+        .when(source_topic.rlike(rf"^(.*)\.({main})$"), main_topic)
         .otherwise(source_topic)
     )
 

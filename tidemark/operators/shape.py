@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import UNKNOWN_ID
 
@@ -60,10 +61,19 @@ def one_row(*frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
-def with_unknown_member(frame: DataFrame, key: str, unknown: DataFrame) -> DataFrame:
-    """Append the sentinel row unless its key is already there."""
-    present = frame.where(F.col(key) == UNKNOWN_ID).select(key)
-    return frame.unionByName(unknown.join(present, key, "left_anti"))
+def with_unknown_member(frame: DataFrame, key: str, values: Mapping[str, object]) -> DataFrame:
+    """Append the sentinel row ``values`` unless its key is already there.
+
+    The row hangs on a count of the key, which always yields one row to keep or drop, so there is no join.
+    """
+
+    def value(field: T.StructField) -> Column:
+        given = values[field.name]
+        column = given if isinstance(given, Column) else F.lit(given)
+        return column.cast(field.dataType).alias(field.name)
+
+    present = frame.where(F.col(key) == UNKNOWN_ID).agg(F.count(key).alias("n"))
+    return frame.unionByName(present.where("n = 0").select(*[value(f) for f in frame.schema.fields]))
 
 
 def top(frame: DataFrame, limit: int, *order: Column) -> DataFrame:

@@ -71,16 +71,6 @@ def dim_date(bounds: DataFrame, as_of: Column) -> DataFrame:
     return days.unionByName(sentinel)
 
 
-def _sentinel(frame: DataFrame, values: dict[str, object]) -> DataFrame:
-    def value(name: str) -> Column:
-        given = values[name]
-        return given if isinstance(given, Column) else F.lit(given)
-
-    return frame.sparkSession.range(1).select(
-        *[value(f.name).cast(f.dataType).alias(f.name) for f in frame.schema.fields]
-    )
-
-
 def dim_distribution_centers(centers: DataFrame, as_of: Column) -> DataFrame:
     frame = centers.select(
         surrogate_key("distribution_center_id").alias("dc_key"),
@@ -97,7 +87,7 @@ def dim_distribution_centers(centers: DataFrame, as_of: Column) -> DataFrame:
         "distribution_center_name": "Unknown Distribution Center", "latitude": 0.0, "longitude": 0.0,
         "source_updated_at": None, "dwh_updated_at": as_of,
     }
-    return with_unknown_member(frame, "distribution_center_id", _sentinel(frame, unknown))
+    return with_unknown_member(frame, "distribution_center_id", unknown)
 
 
 def dim_products(products: DataFrame, as_of: Column) -> DataFrame:
@@ -116,7 +106,7 @@ def dim_products(products: DataFrame, as_of: Column) -> DataFrame:
         "cost": 0, "margin_value": 0, "distribution_center_id": UNKNOWN_ID, "source_updated_at": _epoch(),
         "dwh_updated_at": as_of,
     }
-    return with_unknown_member(frame, "product_id", _sentinel(frame, unknown))
+    return with_unknown_member(frame, "product_id", unknown)
 
 
 def age_group(age: Column) -> Column:
@@ -145,7 +135,7 @@ def dim_users(users: DataFrame, as_of: Column, unique_input: bool = True) -> Dat
         "postal_code": "N/A", "latitude": 0.0, "longitude": 0.0, "created_at": _epoch(),
         "source_updated_at": _epoch(), "dwh_updated_at": as_of,
     }
-    return with_unknown_member(frame, "user_id", _sentinel(frame, unknown))
+    return with_unknown_member(frame, "user_id", unknown)
 
 
 def default_as_of() -> Column:

@@ -35,6 +35,26 @@ def _enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks.enrich(_click_stream(spark, sf_dir), products, processed)
 
 
+def _land(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
+    """A stream's rows after one run over what is there."""
+    root = work_path(spark, label)
+    finish(start_batches(stream, lambda batch, n: write_batch(batch, n, f"{root}/t"), f"{root}/state", label))
+    return spark.read.parquet(f"{root}/t").drop("batch_id")
+
+
+def src_cdc_stream(spark, sf_dir):
+    """Change messages as read from the stream, by topic and day of transport."""
+    landed = _land(spark, _change_stream(spark, sf_dir), "src_cdc")
+    return landed.groupBy("topic", F.to_date("timestamp").alias("day")).agg(F.count("value").alias("messages"))
+
+
+def src_clickstream(spark, sf_dir):
+    """Clickstream messages as read from the stream, by day of transport."""
+    messages = sample.click_messages(spark, sf_dir, events=sample.event_stream(spark, sf_dir))
+    landed = _land(spark, messages, "src_clicks")
+    return landed.groupBy(F.to_date("timestamp").alias("day")).agg(F.count("value").alias("messages"))
+
+
 def sink_hot_events(spark, sf_dir):
     root = work_path(spark, "hot")
     for query in cdc_jobs.land_hot(_change_stream(spark, sf_dir), f"{root}/lake", f"{root}/state", unit="micros"):
@@ -198,6 +218,8 @@ def src_product_lookup(spark, sf_dir):
 
 
 JOBS = {
+    "src_cdc_stream": src_cdc_stream,
+    "src_clickstream": src_clickstream,
     "sink_hot_events": sink_hot_events,
     "sink_cold_parquet": sink_cold_parquet,
     "src_hive_parquet": src_hive_parquet,

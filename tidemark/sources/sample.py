@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 # Fixed values of the rules.
 DAY_MS = 86_400_000
+LINE_PRIME = 2_147_483_647
+LINE_FACTORS = (1_000_003, 69_069)
 MISSING = 1_000_000_000  # added to a foreign key to make it dangle
 CHANNELS = "array('Search', 'Organic', 'Email', 'Facebook', 'Display')"
 BROWSERS = "array('Chrome', 'Firefox', 'Safari', 'IE', 'Other')"
@@ -46,7 +48,7 @@ def _seconds(instant: str, seconds: str) -> str:
 
 
 def _cents(amount: str) -> str:
-    return f"bigint(round({amount} * 100))"
+    return f"bigint({amount} * 100 + 0.5D)"
 
 
 def _dangling(key: str, every: int) -> str:
@@ -153,24 +155,24 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with ``line_id``, a 63-bit content hash: rows carry no unique key, and ranking them would need
-    one global (or per-order) sort. Identical lines are the same item."""
-    text = (
-        "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,"
-        f" {_cents('l_quantity')}, {_cents('l_extendedprice')}, {_cents('l_discount')}, {_cents('l_tax')},"
-        " l_returnflag, l_linestatus, unix_micros(l_shipdate))"
-    )
-    return (
-        table(spark, sf_dir, "lineitem")
-        .selectExpr("*", f"md5({text}) AS digest")
-        .selectExpr(
-            "*",
-            # Through a generator, so that a filter on the id does not hash every line a second time.
-            "explode(array(bigint(conv(substring(digest, 1, 15), 16, 10)) * 8"
-            " + bigint(conv(substring(digest, 16, 1), 16, 10)) % 8)) AS line_id",
-        )
+def _line_id() -> str:
+    """62-bit content key of a line, two polynomial remainders side by side: rows carry no unique key, and
+    ranking them would need one global (or per-order) sort. Identical lines are the same item."""
+    values = (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", _cents("l_quantity"), _cents("l_extendedprice"),
+        _cents("l_discount"), _cents("l_tax"), "ascii(l_returnflag)", "ascii(l_linestatus)", "unix_seconds(l_shipdate)",
     )
+    halves = []
+    for factor in LINE_FACTORS:
+        half = "0L"
+        for value in values:
+            half = f"(({half} * {factor} + {value}) % {LINE_PRIME})"
+        halves.append(half)
+    return f"{halves[0]} * {LINE_PRIME + 1} + {halves[1]}"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr("*", f"{_line_id()} AS line_id")
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:

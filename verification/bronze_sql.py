@@ -11,8 +11,23 @@ CHANNELS = "['Search', 'Organic', 'Email', 'Facebook', 'Display']"
 BROWSERS = "['Chrome', 'Firefox', 'Safari', 'IE', 'Other']"
 DAY0 = "TIMESTAMP '1995-01-01'"
 
-LINE_ID = """
-  ('0x' || substr(h, 1, 15))::BIGINT * 8 + ('0x' || substr(h, 16, 1))::BIGINT % 8"""
+
+
+def _cents(column: str) -> str:
+    return f"floor({column} * 100 + 0.5)::BIGINT"
+
+
+def _line_half(factor: int) -> str:
+    half = "0::BIGINT"
+    for value in (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", _cents("l_quantity"), _cents("l_extendedprice"),
+        _cents("l_discount"), _cents("l_tax"), "ascii(l_returnflag)", "ascii(l_linestatus)", "epoch_us(l_shipdate) // 1000000",
+    ):
+        half = f"(({half} * {factor} + {value}) % 2147483647)"
+    return half
+
+
+LINE_ID = f"{_line_half(1000003)} * 2147483648 + {_line_half(69069)}"
 
 BRONZE: dict[str, str] = {}
 
@@ -40,7 +55,7 @@ SELECT p_partkey AS id, cents * 60 / 10000 AS cost, p_type AS category, p_name A
        'SKU-' || p_partkey AS sku, p_partkey % 10 AS distribution_center_id,
        base_at + to_days(vday) AS updated_at,
        (epoch_us(base_at) // 1000) + vday * 86400000 AS cdc_timestamp, op AS cdc_operation
-FROM (SELECT *, round(p_retailprice * 100)::BIGINT AS cents,
+FROM (SELECT *, floor(p_retailprice * 100 + 0.5)::BIGINT AS cents,
              {DAY0} + to_days((p_partkey % 365)::INT) AS base_at FROM part), {VERSIONS}
 WHERE {_versions('p_partkey')}"""
 
@@ -71,15 +86,11 @@ FROM (SELECT *, CASE WHEN status IN ('Complete', 'Returned') AND order_id % 53 <
                   FROM orders, {VERSIONS} WHERE {_versions('o_orderkey')})))"""
 
 BRONZE["lines"] = f"""
-SELECT *, {LINE_ID} AS line_id,
+SELECT *, {LINE_ID} AS line_id, {_cents('l_extendedprice')} AS cents, {_cents('l_discount')} AS disc,
        l_partkey + CASE WHEN l_partkey % 101 = 0 THEN 1000000000 ELSE 0 END AS item_product,
        CASE WHEN l_returnflag = 'R' THEN 'Returned' WHEN l_returnflag = 'A' THEN 'Complete'
             WHEN l_linestatus = 'O' THEN 'Processing' ELSE 'Shipped' END AS status
-FROM (SELECT *, round(l_extendedprice * 100)::BIGINT AS cents, round(l_discount * 100)::BIGINT AS disc,
-             md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity * 100)::BIGINT,
-                           round(l_extendedprice * 100)::BIGINT, round(l_discount * 100)::BIGINT,
-                           round(l_tax * 100)::BIGINT, l_returnflag, l_linestatus, epoch_us(l_shipdate))) AS h
-      FROM lineitem)"""
+FROM lineitem"""
 
 BRONZE["b_order_items"] = f"""
 SELECT line_id AS id, l_orderkey AS order_id,
@@ -113,7 +124,7 @@ FROM (SELECT line_id AS id, item_product AS product_id, l_partkey AS part,
       FROM lines, {VERSIONS} WHERE {_versions('line_id')}
       UNION ALL
       SELECT -10 - p_partkey, p_partkey, p_partkey, TIMESTAMP '2001-01-01' + to_days((p_partkey % 270)::INT),
-             NULL, round(p_retailprice * 100)::BIGINT * 60 / 10000, p_partkey % 10, vday, op
+             NULL, floor(p_retailprice * 100 + 0.5)::BIGINT * 60 / 10000, p_partkey % 10, vday, op
       FROM part, {VERSIONS} WHERE {_versions('-10 - p_partkey')})"""
 
 BRONZE["visits"] = f"""

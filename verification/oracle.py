@@ -202,8 +202,8 @@ def _cdc() -> dict[str, str]:
             " FROM b_distribution_centers GROUP BY ALL"
         ),
         "topic_route": full(
-            "SELECT 'thelook_clickstream_events' AS destination, count(*) AS messages FROM b_events"
-            " UNION ALL SELECT 'thelook-cdc-events', count(*) FROM b_distribution_centers"
+            "SELECT 'clickstream-events' AS destination, count(*) AS messages FROM b_events"
+            " UNION ALL SELECT 'cdc-events', count(*) FROM b_distribution_centers"
         ),
         "ts_normalise_row": "SELECT event_id, CASE event_id % 5 WHEN 0 THEN ts WHEN 3 THEN date_trunc('second', ts) END"
         " AS created_at FROM events WHERE event_id % 5 IN (0, 3, 4)",
@@ -786,6 +786,14 @@ def _jobs() -> dict[str, str]:
     snapshot = "1700000000000::BIGINT AS cdc_timestamp, 'r' AS cdc_operation"
     first = "b_orders WHERE cdc_operation = 'c'"
     return {
+        "src_cdc_stream": full(
+            "SELECT 'server.demo.events' AS topic, make_timestamp(cdc_timestamp * 1000)::DATE AS day, count(*) AS messages"
+            " FROM b_events GROUP BY ALL"
+        ),
+        "src_clickstream": full(
+            "SELECT (ts + to_seconds((event_id % 7 + delay + 1)::INT))::DATE AS day, count(*) AS messages"
+            " FROM visits, (VALUES (0), (7200)) AS d(delay) WHERE delay = 0 OR event_id % 25 = 1 GROUP BY ALL"
+        ),
         "sink_hot_events": full("SELECT * FROM b_events"),
         "sink_cold_parquet": full("SELECT * FROM b_events"),
         "src_hive_parquet": full(
