@@ -44,7 +44,8 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["q_stream_health", "q_brand_performance", "dim_users", "q_session_stream_health", "fact_orders"])
+@pytest.mark.parametrize("name", ["q_stream_health", "q_brand_performance", "dim_users", "q_session_stream_health", "fact_orders", "q_product_brands",
+     "pp_topn_trend_category"])
 def test_no_cross_or_nested_loop_join(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

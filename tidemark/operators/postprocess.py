@@ -92,7 +92,7 @@ def center_weights(centers: DataFrame) -> DataFrame:
 def top_trend(trend: DataFrame, performance: DataFrame, label: str, n: int) -> DataFrame:
     """Trend rows of the ``n`` best labels by revenue."""
     best = performance.orderBy(F.col("revenue").desc(), label).limit(n).select(label)
-    return trend.join(best, label, "left_semi")
+    return trend.join(best, label).select(*trend.columns)
 
 
 def with_margin_pct(frame: DataFrame) -> DataFrame:

@@ -222,7 +222,7 @@ SELECT session_id AS session_record_id, session_id, first(user_id ORDER BY event
 FROM (SELECT *, count(*) OVER c AS n_category, min(event_timestamp) OVER c AS first_category
       FROM (SELECT *, row_number() OVER (PARTITION BY session_id, no ORDER BY event_timestamp, event_id) AS nth
             FROM (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id
-                                             ROWS UNBOUNDED PRECEDING) AS no
+                                             RANGE UNBOUNDED PRECEDING) AS no
                   FROM (SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER
                                          (PARTITION BY session_id ORDER BY event_timestamp, event_id) < {gap}
                                        THEN 0 ELSE 1 END AS opens FROM {source})))
