@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+DEFAULT_PARTITIONS = "200"  # fixed value: Spark's default
 
 BatchJob = Callable[[DataFrame, int], None]
 
@@ -22,6 +24,20 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, partitions: Sequence
     )
 
 
+def _start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query. On a single machine with the default setting, state is kept in as many partitions as
+    there are cores; a query copies the setting when it starts, so it is put back at once."""
+    key = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(key)
+    if given != DEFAULT_PARTITIONS or not spark.sparkContext.master.startswith("local"):
+        return writer.start()
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, given)
+
+
 def start_batches(
     stream: DataFrame, job: BatchJob, checkpoint: str, name: str, mode: str = "append",
     every: str | None = None,
@@ -34,7 +50,7 @@ def start_batches(
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
+    return _start(writer, stream.sparkSession)
 
 
 def start_table(
@@ -50,7 +66,7 @@ def start_table(
     )
     writer = writer.partitionBy(*partitions) if partitions else writer
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
+    return _start(writer, stream.sparkSession)
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:
