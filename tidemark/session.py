@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; every instant in the library is UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -29,22 +25,35 @@ def local_session(cores: int | str = 8, app: str = "tidemark", shuffle_partition
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.checkpoint.dir", LOCAL_ROOT)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)
 
 
+#: The shared folder of a single machine: one place, so nothing piles up under random names.
+LOCAL_ROOT = "/tmp/tidemark-work"
+
+
 def work_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only if local and unset."""
+    """Shared folder of the cluster (``spark.checkpoint.dir``); where it is unset, ``LOCAL_ROOT`` on one machine only."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _LOCAL_ROOTS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
+    return LOCAL_ROOT
 
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one; never reused, so a retried job cannot read half a result."""
     return f"{work_root(spark)}/tidemark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder; call it when no result of it is read any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{work_root(spark)}/tidemark/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
