@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat_collapse, language_id, mixing, multiset_hash, packing, quality_votes, simhash, toxic_segments, url_rules
+from tidemark.llm import chat_collapse, language_id, mixing, multiset_hash, packing, quality_votes, simhash, suffix_tree, toxic_segments, url_rules
 
 
 def pipeline(spark, sf_dir: str):
@@ -14,6 +14,7 @@ def pipeline(spark, sf_dir: str):
 
 QUERIES = {
     "op1_systematic_mix": mixing.op1_systematic_mix,
+    "op2_suffix_tree": suffix_tree.op2_suffix_tree,
     "op3_multiset_hash": multiset_hash.op3_multiset_hash,
     "op4_quality_votes": quality_votes.op4_quality_votes,
     "op5_simhash": simhash.op5_simhash,
