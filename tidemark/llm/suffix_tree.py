@@ -25,7 +25,7 @@ WEIGHT = (4.0, 2.0)
 #: A context is kept if it was seen so often, and if its next-word distribution, left one out, beats its suffix's by so many nats.
 SEEN, GAIN = 2, 2.0
 #: Tokens of a chunk of documents, the unit of work; tokens behind one bucket of the exchange.
-CHUNK, BUCKET = 2_000_000, 2_000_000
+CHUNK, BUCKET = 800_000, 1_000_000
 #: The end token: white space, so no word.
 END = b" "
 ODD = np.uint64(1)
