@@ -192,16 +192,18 @@ def _send(chunk: str, keys: np.ndarray, vals: np.ndarray, buckets: int) -> pd.Da
     return pd.DataFrame(rows, columns=["chunk", "bucket", "keys", "vals"])
 
 
-def _exchange(sent: DataFrame, dtype: str, label: str) -> DataFrame:
+def _exchange(sent: DataFrame, dtype: str, label: str, least: float | None = None) -> DataFrame:
     """Adds up each key's values over all chunks and answers every chunk in its own order. A bucket is a fixed share
-    of the hash range, and a key comes at most once per chunk, so neither hot words nor hot contexts weigh on one."""
+    of the hash range, and a key comes at most once per chunk, so neither hot words nor hot contexts weigh on one. With
+    ``least``, the answer is one byte, whether the sum reaches it."""
 
     def add_up(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(expand(k, "<u8"), dtype=np.uint64) for k in rows["keys"]]
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(at, np.concatenate([expand(v, dtype) for v in rows["vals"]]), len(found))
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        back = [squeeze(part.astype(dtype)) for part in np.split(totals[at], cuts)]
+        answers = totals[at].astype(dtype) if least is None else (totals >= least)[at].astype(np.uint8)
+        back = [squeeze(part) for part in np.split(answers, cuts)]
         words = totals[(found & ODD) == 0]
         out = pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "bucket": rows["bucket"].to_numpy(), "vals": back})
         for name, n in (("total", words.sum()), ("known", (words > 0).sum()), ("once", (words == 1).sum()), ("twice", (words == 2).sum())):
@@ -278,10 +280,10 @@ def score(docs: DataFrame) -> DataFrame:
         vals[np.searchsorted(every, keys)] = nats
         return _send(key, every, vals.astype("<f4"), buckets)
 
-    third = _exchange(_stage(chunks, [first, second], send_gains, SENT), "<f4", "suffix-gains")
+    third = _exchange(_stage(chunks, [first, second], send_gains, SENT), "<f4", "suffix-gains", GAIN)
 
     def finish(_: str, chunk: Chunk, back: pd.DataFrame) -> pd.DataFrame:
-        return chunk.score(stats, _answers(back, 2, "<f4") >= GAIN)
+        return chunk.score(stats, _answers(back, 2, "u1") > 0)
 
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return _stage(chunks, [first, second, third], finish, shape)
