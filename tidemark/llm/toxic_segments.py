@@ -29,6 +29,8 @@ STEMS = (4, 5, 6)
 DRIFT, MOST = 0.25, 8.0
 #: A passage is significant below this expected number of passages in clean text of the same length.
 EXPECT = 0.05
+#: Words whose gain a worker remembers before it starts anew.
+MEMORY = 400_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -69,19 +71,24 @@ class Model:
     weights: tuple[float, ...]
 
     def __post_init__(self):
-        self.starts = {t.rstrip("*")[: STEMS[0]] for t in self.lexicon}
+        self.memory: dict[str, float] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"memory": {}}
+
+    def gain(self, word: str) -> float:
+        """What a word adds: the most of its tokens' log-odds, 0 for none in the lexicon; remembered per worker."""
+        if len(self.memory) >= MEMORY:
+            self.memory.clear()
+        found = self.memory[word] = max(self.lexicon.get(t, 0.0) for t in tokens_of(word))
+        return found
 
     def hits(self, text: str | None) -> tuple[int, list[int], list[float]]:
         words = WORD.findall((text or "").lower())
-        places, gains = [], []
-        starts, lexicon, n = self.starts, self.lexicon, STEMS[0]
-        for i, word in enumerate(words):
-            if word[:n] in starts:
-                gain = max(lexicon.get(t, 0.0) for t in tokens_of(word))
-                if gain > 0:
-                    places.append(i)
-                    gains.append(gain)
-        return len(words), places, gains
+        known = self.memory.get
+        gains = [self.gain(w) if (g := known(w)) is None else g for w in words]
+        places = [i for i, g in enumerate(gains) if g]
+        return len(words), places, [gains[i] for i in places]
 
     def features(self, n: int, places: list[int], gains: list[float]) -> tuple[tuple[float, ...], int]:
         """Inputs of the logistic map, and the number of significant passages. A passage of score s among n tokens is
