@@ -28,7 +28,7 @@ def filter_time(frame: DataFrame, column: str, start: Column, end: Column, bucke
 def scaled_money(frame: DataFrame, column: str, name: str) -> DataFrame:
     """Adds ``name``: the amount, divided by a billion when the 95th percentile says it is unscaled."""
     amount = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
-    p95 = frame.agg(F.percentile(amount, 0.95).alias("p95")).scalar()
+    p95 = frame.agg(F.percentile_approx(amount, 0.95, 10_000).alias("p95")).scalar()
     return frame.withColumn(
         name, F.when(p95 > RAW_MONEY_LIMIT, amount / F.lit(float(RAW_MONEY_SCALE))).otherwise(amount)
     )
@@ -37,11 +37,11 @@ def scaled_money(frame: DataFrame, column: str, name: str) -> DataFrame:
 def trimmed_histogram(frame: DataFrame, column: str, bins: int = 30, top_share: float = 0.99) -> DataFrame:
     """Positive values up to the given percentile in ``bins`` equal-width bins: bin, low, high, rows.
 
-    Made for report frames (the order-value report keeps a few thousand rows); the percentile is exact.
+    The percentile is approximate (an element of the table), so that tasks pre-aggregate bounded sketches.
     """
     value = F.col(column).cast("double")
     positive = frame.where(value > 0).select(value.alias("v"))
-    kept = positive.where(F.col("v") <= positive.agg(F.percentile("v", top_share).alias("cut")).scalar())
+    kept = positive.where(F.col("v") <= positive.agg(F.percentile_approx("v", top_share, 10_000).alias("cut")).scalar())
     ends = kept.agg(F.min("v").alias("low"), F.max("v").alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
     width = (high - low) / F.lit(bins)

@@ -76,6 +76,6 @@ def with_unknown_member(frame: DataFrame, key: str, values: Mapping[str, object]
     return frame.unionByName(present.where("n = 0").select(*[value(f) for f in frame.schema.fields]))
 
 
-def top(frame: DataFrame, limit: int, *order: Column) -> DataFrame:
-    """Top-k report; Spark keeps k rows per task (TakeOrderedAndProject)."""
-    return frame.orderBy(*order).limit(limit)
+def top(frame: DataFrame, limit: int | None, *order: Column) -> DataFrame:
+    """Top-k report; Spark keeps k rows per task (TakeOrderedAndProject). Without a limit every row, in no order."""
+    return frame if limit is None else frame.orderBy(*order).limit(limit)

@@ -182,7 +182,7 @@ def flow_health(windows, clean, dead, start, end, sources: Sources = None) -> Da
     )
 
 
-def source_event_flow(clean, start_at: str, end_at: str, sources: Sources = None, limit: int = 40) -> DataFrame:
+def source_event_flow(clean, start_at: str, end_at: str, sources: Sources = None, limit: int | None = None) -> DataFrame:
     """Events per (source, type) between two instants, both included."""
     first, last = F.lit(start_at).cast("timestamp"), F.lit(end_at).cast("timestamp")
     grouped = (
@@ -256,7 +256,7 @@ def quality_by_event_type(clean, start, end, sources: Sources = None) -> DataFra
     )
 
 
-def source_browser_matrix(windows, start, end, sources: Sources = None, limit: int = 25) -> DataFrame:
+def source_browser_matrix(windows, start, end, sources: Sources = None, limit: int | None = None) -> DataFrame:
     grouped = (
         _scope(windows, start, end, sources)
         .groupBy(_or_unknown("traffic_source").alias("traffic_source"), _or_unknown("browser").alias("browser"))

@@ -111,8 +111,8 @@ def product_brands(order_items, products, start, end) -> DataFrame:
     return sold.join(products, "product_id").select(_named("brand").alias("brand")).distinct().orderBy("brand")
 
 
-def order_value_distribution(orders, start, end, limit: int = 5000) -> DataFrame:
-    """The newest orders with revenue."""
+def order_value_distribution(orders, start, end, limit: int | None = None) -> DataFrame:
+    """All orders with revenue; with a limit, the newest."""
     paid = orders.where(between_dates("created_at", start, end) & (F.col("total_revenue") > 0))
     return top(paid, limit, F.col("created_at").desc(), F.col("order_id").desc()).select(
         "order_id", F.col("total_revenue").alias("order_value"), F.col("gross_margin").alias("margin"), "num_of_item"
@@ -132,7 +132,7 @@ def order_type_stats(orders, start, end) -> DataFrame:
     return _order_counts(orders, "order_type", start, end)
 
 
-def orders_by_city(orders, users, start, end, limit: int = 500) -> DataFrame:
+def orders_by_city(orders, users, start, end, limit: int | None = None) -> DataFrame:
     """Buyers and orders per place; users are unique, so counting one row per buyer is the distinct count."""
     per_user = orders.where(between_dates("created_at", start, end)).groupBy("user_id").agg(
         F.count("order_id").alias("n")
@@ -158,7 +158,7 @@ def category_performance(order_items, products, start, end, brands: Brands = Non
     )
 
 
-def product_scatter(order_items, products, start, end, brands: Brands = None, more_than: int = 5, limit: int = 100):
+def product_scatter(order_items, products, start, end, brands: Brands = None, more_than: int = 5, limit: int | None = None):
     """Products sold more than ``more_than`` times, the most sold first."""
     totals = (
         _by_product(order_items, products, start, end, brands)

@@ -71,9 +71,10 @@ def _categories(where: str) -> str:
 
 def _scatter(where: str) -> str:
     return (
-        "SELECT product_name, category, brand, department, sum(sale_price)::DOUBLE / count(*) AS avg_price,"
+        # through text, so that halves round up on their decimal digits, as Spark rounds them
+        "SELECT product_name, category, brand, department,"
+        " (sum(sale_price)::DOUBLE / count(*))::VARCHAR::DECIMAL(38, 6)::DOUBLE AS avg_price,"
         f" sum(profit) AS total_profit, count(*) AS volume FROM {_items(where)} GROUP BY ALL HAVING count(*) > 5"
-        " ORDER BY volume DESC, product_name, category, brand, department LIMIT 100"
     )
 
 
@@ -145,13 +146,13 @@ _LATEST_DATE = (
 
 _ORDER_VALUES = (
     f"(SELECT order_id, total_revenue, gross_margin, num_of_item FROM fact_orders WHERE {CAL} AND total_revenue > 0"
-    " ORDER BY created_at DESC, order_id DESC LIMIT 5000)"
+    ")"
 )
 
 _CITIES = (
     "(SELECT city, latitude, longitude, count(DISTINCT o.user_id) AS user_count, count(*) AS order_count"
     f" FROM fact_orders o JOIN dim_users u USING (user_id) WHERE {CAL.replace('created_at', 'o.created_at')}"
-    " GROUP BY ALL ORDER BY order_count DESC, city, latitude, longitude LIMIT 500)"
+    " GROUP BY ALL)"
 )
 
 _PROFILE_MONEY = {
@@ -493,7 +494,6 @@ def _clickboard() -> dict[str, str]:
         "q_source_event_flow": full(
             f"SELECT traffic_source, event_type, count(*) AS total_events FROM {RAW} WHERE event_timestamp BETWEEN"
             " TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00' GROUP BY ALL"
-            " ORDER BY total_events DESC, traffic_source, event_type LIMIT 40"
         ),
         "q_ingestion_freshness": full(
             f"SELECT *, date_sub('second', latest_processing_time, {CLICK_AS_OF}) AS processing_freshness_seconds,"
@@ -537,8 +537,7 @@ def _clickboard() -> dict[str, str]:
         ),
         "q_source_browser_matrix": full(
             "SELECT traffic_source, browser, sum(total_events)::BIGINT AS total_events,"
-            f" sum(unique_sessions)::BIGINT AS unique_sessions, {lag} FROM {WIN} WHERE {CLK} GROUP BY ALL"
-            " ORDER BY total_events DESC, traffic_source, browser LIMIT 25",
+            f" sum(unique_sessions)::BIGINT AS unique_sessions, {lag} FROM {WIN} WHERE {CLK} GROUP BY ALL",
             real="avg_event_lag_seconds",
         ),
         "q_popular_pages": full(
@@ -654,12 +653,12 @@ def _display() -> dict[str, str]:
             "SELECT bin, low + bin * w AS low, low + (bin + 1) * w AS high, count(*) AS rows FROM"
             " (SELECT least(floor((v - low) / w), 29)::INT AS bin, low, w FROM"
             " (SELECT v, min(v) OVER () AS low, (max(v) OVER () - min(v) OVER ()) / 30 AS w FROM"
-            f" (SELECT v, quantile_cont(v, 0.99) OVER () AS cut FROM (SELECT total_revenue::DOUBLE AS v FROM {_ORDER_VALUES}))"
+            f" (SELECT v, quantile_disc(v, 0.99) OVER () AS cut FROM (SELECT total_revenue::DOUBLE AS v FROM {_ORDER_VALUES}))"
             " WHERE v <= cut)) GROUP BY ALL",
             real="low high",
         ),
         "pp_money_scale": full(
-            "SELECT order_id, CASE WHEN quantile_cont(v, 0.95) OVER () > 1000000 THEN v / 1000000000 ELSE v END AS"
+            "SELECT order_id, CASE WHEN quantile_disc(v, 0.95) OVER () > 1000000 THEN v / 1000000000 ELSE v END AS"
             f" order_value_usd FROM (SELECT order_id, total_revenue::DOUBLE AS v FROM {_ORDER_VALUES})",
             real="order_value_usd",
         ),
