@@ -100,13 +100,6 @@ def test_against_definition_with_one_hot_session(spark):
     assert found(spark, distinct_times) == brute(distinct_times)
 
 
-def test_guard_keeps_the_first_events(spark):
-    events = list({(e[0], e[1]): e for e in _random_events(900, [0] * 5 + [1, 2, 3], 9_000, seed=2)}.values())
-    for cap in (1, 7, 100):
-        assert found(spark, events, max_events=cap) == brute(events, cap)
-
-
 def test_whole_sessions_by_default(spark):
     events = [visit(i % 1700, i) for i in range(6000)]
     assert found(spark, events)[0][3] == 6000
-    assert found(spark, events, max_events=5000)[0][3] == 5000

@@ -119,54 +119,12 @@ def sessions(
     emitted_at: Column,
     processed_at: Column | None = None,
     gap_seconds: int = GAP_SECONDS,
-    max_events: int | None = None,
 ) -> DataFrame:
-    """Session metrics over a batch of enriched events. Whole sessions count unless ``max_events`` asks
-    for the guard that measures a session by its first so many events only."""
+    """Session metrics over a batch of enriched events; sessions are measured whole."""
     assigned = assign_sessions(session_cells(events, gap_seconds), gap_seconds)
-    if max_events is not None:
-        assigned = _first_events_only(events, assigned, gap_seconds, max_events)
     return session_metrics(assigned, emitted_at, processed_at)
 
 
-def _first_events_only(events: DataFrame, assigned: DataFrame, gap_seconds: int, max_events: int) -> DataFrame:
-    """Cells of each session's first ``max_events`` events in time order.
-
-    Whole cells before the limit pass as they are. Only the cell in which the limit falls is recounted
-    from its events: ranked within hash slices first, so one slice never ranks them all.
-    """
-    session = Window.partitionBy("session_id", "session_cell").orderBy("cell")
-    before = F.coalesce(
-        F.sum("event_count").over(session.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    in_cell = F.sum("event_count").over(Window.partitionBy("session_id", "session_cell", "cell"))
-    room = F.lit(max_events) - before
-    sized = assigned.withColumn("_room", room).withColumn("_size", in_cell)
-    whole = sized.where("_size <= _room").drop("_room", "_size")
-    cut = (
-        sized.where("_room > 0 AND _size > _room")
-        .groupBy("session_id", "cell")
-        .agg(F.max("_room").alias("_room"), F.max("session_cell").alias("session_cell"))
-    )
-    inside = events.withColumn("cell", cell_start(F.col("event_timestamp"), gap_seconds)).join(
-        cut, ["session_id", "cell"]
-    )
-    slices = inside.withColumn("_slice", F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(64)))
-    by_time = ["event_timestamp", "event_id"]
-    sliced = Window.partitionBy("session_id", "cell", "_slice").orderBy(*by_time)
-    overall = Window.partitionBy("session_id", "cell").orderBy(*by_time)
-    kept = (
-        slices.withColumn("_nth", F.row_number().over(sliced))
-        .where("_nth <= _room")
-        .withColumn("_nth", F.row_number().over(overall))
-        .where("_nth <= _room")
-    )
-    recounted = session_cells(kept, gap_seconds).join(
-        cut.select("session_id", "cell", "session_cell"), ["session_id", "cell"]
-    )
-    return whole.unionByName(recounted)
-
-
 def session_metrics_latest(versions: DataFrame) -> DataFrame:
     """Latest version per session id; if a gap split the id, the later window wins a tie."""
     return latest_by(versions, ["session_id"], ["version_emitted_at", "session_start"])

@@ -231,12 +231,6 @@ def st_session(w: Warehouse) -> DataFrame:
     ).drop("session_cell")
 
 
-def st_session_cap(w: Warehouse) -> DataFrame:
-    """Session metrics under the guard of 5,000 events, here over one session per user and day."""
-    emitted = F.col("session_end") + F.expr("INTERVAL 1 DAY")
-    return sessions.sessions(w["events_raw"], emitted, gap_seconds=86400, max_events=5000)
-
-
 def st_tumbling_5m(w: Warehouse) -> DataFrame:
     window = F.window("event_timestamp", "300 seconds")
     return w["clicks"].groupBy(window.alias("w")).agg(F.count("*").alias("events")).select(
@@ -380,7 +374,6 @@ OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "st_agg_5m": _model("events_5m"),
     "st_session": st_session,
     "st_session_metrics": _model("session_metrics"),
-    "st_session_cap": st_session_cap,
     # filters and ranges
     "flt_date_range": lambda w: w["stg_orders"].where(fn.between_dates("created_at", *CAL)).select("order_id", "created_at"),
     "flt_in_list": lambda w: w["stg_events"]

@@ -262,10 +262,6 @@ def _stream_forms() -> dict[str, str]:
         "st_agg_5m": full("SELECT * FROM events_5m", real="avg_event_lag_seconds"),
         "st_session": full("SELECT session_id, session_start, session_end, event_count FROM session_metrics"),
         "st_session_metrics": full("SELECT * FROM session_metrics", real="session_duration_seconds"),
-        "st_session_cap": full(
-            "SELECT * FROM (" + session_metrics("events_raw", "INTERVAL 1 DAY", "nth <= 5000") + ")",
-            real="session_duration_seconds",
-        ),
         "v_session_funnel": full(
             "SELECT session_id, user_id, traffic_source, browser, session_start AS session_started_at, saw_home,"
             " saw_product, added_to_cart, purchased, session_duration_seconds, event_count, top_category"
