@@ -40,10 +40,12 @@ def warehouse(spark: SparkSession, sf_dir: str, deletes: str = "ignore") -> Ware
     inputs: dict[str, Callable[[], DataFrame]] = {
         name: partial(build, spark, sf_dir) for name, build in sample.BRONZE.items()
     }
-    inputs["clicks"] = lambda: sample.valid_clicks(spark, sf_dir)
-    inputs["dead_letters"] = lambda: clicks.dead_letters(
-        clicks.parse_events(sample.click_messages(spark, sf_dir, only_bad=True)), F.col("timestamp")
-    )
+
+    def parsed() -> DataFrame:
+        return clicks.parse_events(sample.click_messages(spark, sf_dir))
+
+    inputs["clicks"] = lambda: clicks.valid_events(parsed())
+    inputs["dead_letters"] = lambda: clicks.dead_letters(parsed(), F.col("timestamp"))
     processed = F.col("ingested_at") + F.expr("INTERVAL 2 SECONDS")
     return Warehouse(inputs, instant(AS_OF), processed, deletes)
 
@@ -223,7 +225,7 @@ def st_dedup(w: Warehouse) -> DataFrame:
 
 def st_session(w: Warehouse) -> DataFrame:
     """Session windows: bounds and size."""
-    assigned = sessions.assign_sessions(sessions.session_cells(w["events_raw"]))
+    assigned = sessions.assign_sessions(sessions.session_cells(w["events_first"]))
     return assigned.groupBy("session_id", "session_cell").agg(
         F.min("first_at").alias("session_start"),
         F.max("last_at").alias("session_end"),
@@ -233,7 +235,7 @@ def st_session(w: Warehouse) -> DataFrame:
 
 def st_tumbling_5m(w: Warehouse) -> DataFrame:
     window = F.window("event_timestamp", "300 seconds")
-    return w["clicks"].groupBy(window.alias("w")).agg(F.count("*").alias("events")).select(
+    return clicks.first_seen(w["clicks"]).groupBy(window.alias("w")).agg(F.count("*").alias("events")).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events"
     )
 

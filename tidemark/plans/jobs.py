@@ -26,7 +26,8 @@ def _change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.valid_clicks(spark, sf_dir, sample.event_stream(spark, sf_dir))
+    messages = sample.click_messages(spark, sf_dir, events=sample.event_stream(spark, sf_dir))
+    return clicks.valid_events(clicks.parse_events(messages))
 
 
 def _enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,15 @@ def _enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks.enrich(_click_stream(spark, sf_dir), products, processed)
 
 
+def _first_events(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Messages parsed, deduplicated, enriched and landed; the landed table as a stream."""
+    products = staging.stg_products(sample.products(spark, sf_dir))
+    processed = F.col("ingested_at") + F.expr("INTERVAL 2 SECONDS")
+    events, path = _click_stream(spark, sf_dir), f"{root}/raw"
+    finish(clickstream.land_events(events, products, path, f"{root}/raw-state", LONG_AGO, processed))
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
 def _land(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """A stream's rows after one run over what is there."""
     root = work_path(spark, label)
@@ -146,7 +156,7 @@ def st_stream_dedup(spark, sf_dir):
 def st_stream_5m(spark, sf_dir):
     """Five-minute aggregates from the stream, latest version of each."""
     root = work_path(spark, "agg")
-    finish(clickstream.start_aggregates(_enriched_stream(spark, sf_dir), f"{root}/t", f"{root}/state", LONG_AGO))
+    finish(clickstream.start_aggregates(_first_events(spark, sf_dir, root), f"{root}/t", f"{root}/state", LONG_AGO))
     versions = spark.read.parquet(f"{root}/t").drop("batch_id")
     return clicks.events_5m_latest(versions).drop("version_emitted_at")
 
@@ -156,7 +166,7 @@ def st_session_early(spark, sf_dir):
     root = work_path(spark, "sessions")
     finish(
         clickstream.start_sessions(
-            _enriched_stream(spark, sf_dir), f"{root}/t", f"{root}/cells", f"{root}/state", lateness_seconds=LONG_AGO
+            _first_events(spark, sf_dir, root), f"{root}/t", f"{root}/cells", f"{root}/state", lateness_seconds=LONG_AGO
         )
     )
     versions = spark.read.parquet(f"{root}/t").drop("batch_id")

@@ -117,12 +117,12 @@ def _calendar(w: Warehouse) -> DataFrame:
 
 def _five_minutes(w: Warehouse) -> DataFrame:
     emitted = F.col("window_end") + F.expr("INTERVAL 10 MINUTES")
-    return clicks.aggregate_5m(w["events_raw"], emitted)
+    return clicks.aggregate_5m(w["events_first"], emitted)
 
 
 def _session_versions(w: Warehouse) -> DataFrame:
     emitted = F.timestamp_micros(F.unix_micros("session_end") + w.gap * 1_000_000)
-    return sessions.sessions(w["events_raw"], emitted, gap_seconds=w.gap)
+    return sessions.sessions(w["events_first"], emitted, gap_seconds=w.gap)
 
 
 MODELS: dict[str, Model] = {
@@ -150,6 +150,7 @@ MODELS: dict[str, Model] = {
     "agg_dashboard_daily": lambda w: aggregates.agg_dashboard_daily(w["order_measures"], w["event_visits"], w.as_of),
     "agg_user_stats": lambda w: aggregates.agg_user_stats(w["dim_users"], w["order_measures"], w.as_of),
     "events_raw": lambda w: clicks.enrich(w["clicks"], w["stg_products"], w.processed_at),
+    "events_first": lambda w: clicks.first_seen(w["events_raw"]),
     "events_5m": _five_minutes,
     "session_metrics": _session_versions,
     "events_deadletter": lambda w: w["dead_letters"],

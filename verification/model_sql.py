@@ -189,6 +189,9 @@ SELECT c.*, CASE WHEN uri IS NULL THEN 'unknown' WHEN uri = '/' THEN 'home'
 FROM clicks c LEFT JOIN stg_products p
   ON CASE WHEN uri LIKE '/product/%' THEN split_part(uri, '/', 3)::BIGINT END = p.product_id"""
 
+MODELS["events_first"] = """
+SELECT * FROM events_raw QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingested_at) = 1"""
+
 MODELS["events_5m"] = """
 SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S+00:00') || '|' || event_date || '|' || coalesce(traffic_source, '')
          || '|' || coalesce(browser, '') || '|' || event_type || '|' || page_type AS aggregate_id,
@@ -197,7 +200,7 @@ SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S+00:00') || '|' || event_date ||
        count(DISTINCT user_id) AS unique_users, count(*) FILTER (is_conversion) AS purchase_events,
        sum(event_lag_seconds) / count(event_lag_seconds) AS avg_event_lag_seconds,
        window_start + INTERVAL 15 MINUTE AS version_emitted_at
-FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start FROM events_raw)
+FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start FROM events_first)
 GROUP BY ALL"""
 
 
@@ -230,7 +233,7 @@ FROM (SELECT *, count(*) OVER c AS n_category, min(event_timestamp) OVER c AS fi
 GROUP BY session_id, no"""
 
 
-MODELS["session_metrics"] = session_metrics("events_raw")
+MODELS["session_metrics"] = session_metrics("events_first")
 
 MODELS["v_events_raw_dedup"] = """
 SELECT * FROM events_raw

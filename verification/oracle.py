@@ -171,6 +171,7 @@ _PROFILE_REAL = {
     "fact_orders": "margin_percentage",
     "agg_dashboard_daily": "purchase_cvr",
     "events_raw": "event_lag_seconds",
+    "events_first": "event_lag_seconds",
     "v_events_raw_dedup": "event_lag_seconds",
     "events_5m": "avg_event_lag_seconds",
     "v_events_5m_latest": "avg_event_lag_seconds",
@@ -257,7 +258,7 @@ def _stream_forms() -> dict[str, str]:
         "st_tumbling_5m": full(
             "SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start,"
             " time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end, count(*) AS events"
-            " FROM clicks GROUP BY ALL"
+            " FROM (SELECT DISTINCT event_id, event_timestamp FROM clicks) GROUP BY ALL"
         ),
         "st_agg_5m": full("SELECT * FROM events_5m", real="avg_event_lag_seconds"),
         "st_session": full("SELECT session_id, session_start, session_end, event_count FROM session_metrics"),
