@@ -1,5 +1,6 @@
 """Oracles, brute-force versions and odd inputs of the operators in tidemark.llm."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -110,6 +111,18 @@ def test_quality_agrees_with_labels(spark):
     assert np.mean(good) >= 0.97 and np.mean(bad) <= 0.2
 
 
+def test_likeness_lanes_are_wide_and_many(spark):
+    """More equal pieces than a 15-bit lane holds, and more lanes than one 60-bit hash has."""
+    n = 300_000
+    texts = spark.createDataFrame([("a." * n,), ("one.two.three." * 16,)], "text string")
+    prints = texts.coalesce(1).select(multiset_hash.fingerprint(F.col("text")).alias("fp")).cache()
+    heavy, light = [r[0] for r in prints.select(multiset_hash._signed(F.col("fp"))).collect()]
+    assert len(heavy) == len(light) == 120 and set(heavy) == {n, -n}
+    bits = [int(hashlib.md5(w.encode()).hexdigest()[k : k + 15], 16) for k in (0, 15) for w in ("one", "two", "three")]
+    want = [16 * sum(1 if (h >> i + 20 * j) & 1 else -1 for h in half) for half in (bits[:3], bits[3:]) for i in range(20) for j in range(3)]
+    assert light == want
+
+
 def brute_components(fps, most=3):
     ids = sorted(fps)
     root = {i: i for i in ids}

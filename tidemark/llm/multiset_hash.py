@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import pick, table
 
-#: A packed word holds four 15-bit lanes; the 15 shifts of a 60-bit hash give 60 one-bit lanes.
-FIELD, PER_WORD = 15, 4
-ONES = sum(1 << FIELD * i for i in range(PER_WORD))
+#: A packed word holds three 20-bit lanes; its 20 shifts of a 60-bit hash give 60 one-bit lanes, two hashes 120.
+FIELD = 20
+ONES = 1 | 1 << FIELD | 1 << 2 * FIELD
 MASK = (1 << FIELD) - 1
+#: Lanes are first added up in 4-bit fields, which hold as many pieces as fit a field, and then widened.
+NARROW, CHUNK = 4, 15
+NARROW_ONES = sum(1 << NARROW * i for i in range(60 // NARROW))
+WORDS = 2 * FIELD
 #: Places in the fingerprint array: paragraphs, four 32-bit sums, pieces, then the packed words.
 SUMS, PIECES, PACKED = 4, 5, 6
 
@@ -22,9 +27,9 @@ def fingerprint(text: Column) -> Column:
     """array<long>: what the paragraphs (lines) of a text add up to. Null is the empty text, one empty paragraph.
 
     Every paragraph contributes a wide vector: 1; its md5 as four numbers modulo 2 ** 32, which decide equality; the
-    number of its sentence pieces; and for each piece 60 bits of its md5, which carry likeness. Vectors are added
+    number of its sentence pieces; and for each piece 120 bits of its md5, which carry likeness. Vectors are added
     component by component, so order does not matter, and adding or subtracting a paragraph's own vector inserts or
-    deletes it (``combine``). The packed lanes hold 2 ** 15 pieces; beyond, likeness blurs, equality does not.
+    deletes it (``combine``). The packed lanes hold 2 ** 20 pieces; beyond, likeness blurs, equality does not.
     """
     whole = F.coalesce(text, F.lit(""))
     paragraphs = F.transform(F.split(whole, "\n"), lambda p: F.md5(p))
@@ -34,14 +39,40 @@ def fingerprint(text: Column) -> Column:
         return lambda d: F.conv(F.substring(d, start, digits), 16, 10).cast("long")
 
     zero = F.lit(0).cast("long")
-    sums = [F.aggregate(F.transform(paragraphs, number(8 * i + 1, 8)), zero, lambda a, x: a + x) % (1 << 32) for i in range(SUMS)]
-    bits = F.transform(pieces, number(1, 15))
 
-    def add_shifted(i: int):
-        return lambda a, h: a + F.shiftright(h, i).bitwiseAND(F.lit(ONES))
+    def sums(hashes: Column) -> Column:
+        each = [F.aggregate(F.transform(hashes, number(8 * i + 1, 8)), zero, lambda a, x: a + x) % (1 << 32) for i in range(SUMS)]
+        return F.array(F.size(hashes).cast("long"), *each)
 
-    packed = [F.aggregate(bits, zero, add_shifted(i)) for i in range(FIELD)]
-    return F.array(F.size(paragraphs).cast("long"), *sums, F.size(pieces).cast("long"), *packed)
+    def lanes(hashes: Column) -> Column:
+        halves = [_once(F.transform(hashes, number(start, 15)), _packed) for start in (1, 16)]
+        return F.concat(F.array(F.size(hashes).cast("long")), *halves)
+
+    return F.concat(_once(paragraphs, sums), _once(pieces, lanes))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used: aggregates do not share their inputs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _packed(half: Column) -> Column:
+    """The FIELD packed words of 60-bit numbers: word i holds how often the bits i, i + 20 and i + 40 are set."""
+    zero = F.lit(0).cast("long")
+    chunks = F.transform(F.sequence(F.lit(0), F.floor(F.size(half) / CHUNK).cast("int")), lambda i: F.slice(half, i * CHUNK + 1, CHUNK))
+
+    def narrow(shift: int):
+        return lambda chunk: F.aggregate(chunk, zero, lambda a, h: a + F.shiftright(h, shift).bitwiseAND(F.lit(NARROW_ONES)))
+
+    def widened(shift: int):
+        wide = F.lit(ONES * ((1 << NARROW) - 1))
+        return lambda a, n: a + F.shiftright(n, shift).bitwiseAND(wide)
+
+    def words(sums: Column) -> Column:
+        each = [F.aggregate(F.get(sums, F.lit(i % NARROW)), zero, widened(i - i % NARROW)) for i in range(FIELD)]
+        return F.array(*each)
+
+    return _once(chunks, lambda c: _once(F.array(*[F.transform(c, narrow(s)) for s in range(NARROW)]), words))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -57,8 +88,10 @@ def as_text(fp: Column) -> Column:
 def _signed(fp: Column) -> Column:
     """Lanes as sums of +1 and -1 over the pieces; independent texts have nearly orthogonal lanes."""
     n = F.get(fp, F.lit(PIECES))
-    words = F.slice(fp, PACKED + 1, FIELD)
-    fields = F.flatten(F.transform(words, lambda w: F.array(*[F.shiftright(w, FIELD * i).bitwiseAND(F.lit(MASK)) for i in range(PER_WORD)])))
+    words = F.slice(fp, PACKED + 1, WORDS)
+    fields = F.flatten(
+        F.transform(words, lambda w: F.array(w.bitwiseAND(F.lit(MASK)), F.shiftright(w, FIELD).bitwiseAND(F.lit(MASK)), F.shiftright(w, 2 * FIELD)))
+    )
     return F.transform(fields, lambda x: 2 * x - n)
 
 
@@ -144,13 +177,15 @@ def _oracle() -> str:
             for i in range(SUMS)
         )
         pieces = f"list_filter(string_split_regex({text}, '[.!?\\n]'), lambda p: p <> '')"
-        bits = f"list_transform({pieces}, lambda p: ('0x' || md5(p)[1:15])::BIGINT)"
-        packed = f"list_transform(range({FIELD}), lambda i: coalesce(list_sum(list_transform({bits}, lambda x: (x >> i) & {ONES})), 0)::BIGINT)"
+        halves = [f"list_transform({pieces}, lambda p: ('0x' || md5(p)[{s}:{s + 14}])::BIGINT)" for s in (1, 16)]
+        packed = " || ".join(
+            f"list_transform(range({FIELD}), lambda i: coalesce(list_sum(list_transform({h}, lambda x: (x >> i) & {ONES})), 0)::BIGINT)" for h in halves
+        )
         return f"[len(string_split({text}, chr(10))), {sums}, len({pieces})] || {packed}"
 
     def lanes(fp):
         return (
-            f"list_transform(flatten(list_transform({fp}[{PACKED + 1}:], lambda w: [(w >> ({FIELD} * i)) & {MASK} for i in range({PER_WORD})])),"
+            f"list_transform(flatten(list_transform({fp}[{PACKED + 1}:], lambda w: [w & {MASK}, (w >> {FIELD}) & {MASK}, w >> {2 * FIELD}])),"
             f" lambda x: 2 * x - {fp}[{PIECES + 1}])"
         )
 
