@@ -251,6 +251,31 @@ def test_packing_limits_segments_and_loss():
     assert all(len(covered[i]) > 0 for i in range(200))
 
 
+def test_packing_returns_sequences_and_loss(spark):
+    """The operator's rows make whole sequences: each document's ids come back, and only the text and the end bear loss."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [(i, f"word {i} " * (40 * i + 1), "say it " * i) for i in range(12)]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string, ask string"), tokens=128, prompt="ask")
+    pieces = rows.collect()
+    whole = {r.sequence_id: r for r in packing.sequences(rows).collect()}
+    assert set(whole) == {p.sequence_id for p in pieces}
+    got = defaultdict(list)
+    for p in sorted(pieces, key=lambda p: p.start):
+        ids = np.frombuffer(p.ids, dtype="<u4").tolist()
+        assert len(ids) == p.length and p.ids_crc32 == zlib.crc32(p.ids)
+        mask = [int(k >= p.loss_start) for k in range(p.length)]
+        s = whole[p.sequence_id]
+        assert s.ids[p.offset : p.offset + p.length] == ids and s.loss_mask[p.offset : p.offset + p.length] == mask
+        got[p.doc_id] += zip(ids, mask)
+    for i, text, ask in texts:
+        head, tail = tokenizer.encode(ask).ids, tokenizer.encode(text).ids + [0]
+        assert got[i] == [(t, 0) for t in head] + [(t, 1) for t in tail]
+
+
 def test_url_parts_and_rules(spark):
     urls = [None, "", "no scheme", "http://A.com", "http://a.COM/x?y#z", "https://www.example.com/en/1", "https://m.example.com/en/1", "x://notcom/", "ftp://b.net?/es/", "ftp://b.net/es/a://b"]
     pages = spark.createDataFrame([(i, u, "h", 1) for i, u in enumerate([*urls, urls[4]])], "page_id long, url string, html string, URL int")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import base64
 import re
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -161,16 +161,17 @@ class Packer:
         return pieces
 
     def _close(self, pieces: list[tuple]) -> list[tuple]:
-        """(doc_id, start, length, crc32, document's tokens, sequence, offset) of each piece."""
+        """(doc_id, start, length, document's tokens, sequence, offset, first place that bears loss, ids) of each piece."""
         out, offset = [], 0
-        for (ids, doc_id, _), start, n in pieces:
-            out.append((doc_id, start, n, zlib.crc32(ids[start : start + n].tobytes()), len(ids), self.sequences, offset))
+        for (ids, doc_id, loss_from), start, n in pieces:
+            free = min(n, max(0, loss_from - start))
+            out.append((doc_id, start, n, len(ids), self.sequences, offset, free, ids[start : start + n].tobytes()))
             offset += n
         self.sequences += 1
         return out
 
 
-SHAPE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SHAPE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, loss_start long, ids binary"
 NAMES = [part.split()[0] for part in SHAPE.split(", ")]
 
 
@@ -178,8 +179,11 @@ def pack(
     docs: DataFrame, tokens: int = TOKENS, segments: int = SEGMENTS, loss: int | None = None, prompt: str | None = None,
     vocabulary: str = VOCABULARY, ranks: str = RANKS, pool: int = POOL,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_start, ids.
 
+    ``ids`` are the piece's token ids as little-endian 32-bit numbers, ``ids_crc32`` is their digest; the tokens from
+    place ``loss_start`` to the piece's end bear loss (none where it is ``length``). A sequence is its pieces' ids in
+    order of ``offset`` (``sequences``).
     ``docs`` needs doc_id and text; with ``prompt``, that column's tokens come first and bear no loss. Every document
     is its ids and one end id; null and empty texts are the end id alone. Each task packs what it reads, from a pool
     of ``pool`` pieces, so nothing is shuffled and a hot source costs nothing; sequence ids carry the task's partition
@@ -193,10 +197,12 @@ def pack(
         rows: list[tuple] = []
 
         def out() -> pa.RecordBatch:
-            columns = [np.array(c, dtype=np.int64) if i else pa.array(c, pa.int64()) for i, c in enumerate(zip(*rows))]
-            columns[5] = columns[5] + base
+            doc_ids, *numbers, ids = zip(*rows)
+            numbers = [np.array(c, dtype=np.int64) for c in numbers]
+            numbers[NAMES.index("sequence_id") - 1] += base
             rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=NAMES)
+            columns = [pa.array(doc_ids, pa.int64()), *[pa.array(c) for c in numbers], pa.array(ids, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
         end = np.array([END_ID], dtype="<u4")
         for batch in batches:
@@ -213,11 +219,26 @@ def pack(
         if rows:
             yield out()
 
-    return pick(docs, *names).mapInArrow(run, SHAPE)
+    pieces = pick(docs, *names).mapInArrow(run, SHAPE)
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset", "loss_start", "ids")
+
+
+def sequences(pieces: DataFrame) -> DataFrame:
+    """(sequence_id, ids, loss_mask) of ``pack``'s rows: whole training sequences, and 1 for each token that bears loss."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("offset")
+        ids = np.frombuffer(b"".join(rows["ids"]), dtype="<u4").astype(np.int32)
+        mask = np.concatenate([np.arange(n) >= free for n, free in zip(rows["length"], rows["loss_start"])]).astype(np.int8)
+        return pd.DataFrame({"sequence_id": [rows["sequence_id"].iloc[0]], "ids": [ids], "loss_mask": [mask]})
+
+    return pieces.groupBy("sequence_id").applyInPandas(run, "sequence_id long, ids array<int>, loss_mask array<byte>")
 
 
 def op6_vector_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents").select("doc_id", F.col("text")))
+    pieces = pack(table(spark, sf_dir, "documents").select("doc_id", F.col("text")))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 #: Subword ids have no SQL counterpart; tests check round trips against the tokenizers library.
