@@ -313,6 +313,18 @@ def test_toxicity_held_out(spark):
     assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_toxicity_keeps_class_shares_beyond_the_sample(spark, monkeypatch):
+    """With more labels than the sample takes, scores are on average those of the model fitted on all labels."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    whole = toxic_segments.fit(docs, labels)
+    monkeypatch.setattr(toxic_segments, "SAMPLE", 350)
+    cut = toxic_segments.fit(docs, labels)
+    texts = [r.text for r in docs.select("text").limit(3000).collect()]
+    means = [np.mean([m.score(t)[0] for t in texts]) for m in (whole, cut)]
+    assert abs(means[1] - means[0]) < 0.04, means
+
+
 def test_toxicity_of_odd_and_empty_tables(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (5, 1, 0), (None, 0, 1), (77, 1, None)], "doc_id long, quality int, toxic int")
     docs = odd_documents(spark)

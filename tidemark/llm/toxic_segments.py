@@ -105,15 +105,17 @@ class Model:
         return 1 / (1 + math.exp(-max(min(odds, 50.0), -50.0))), count
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic, part) of the bounded sample; equal texts count once. The id list is 2 x SAMPLE rows at most."""
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
+    """(text, toxic, part) of the bounded sample, and how many labelled documents one of each class stands for; equal
+    texts count once. The id list is 2 x SAMPLE rows at most."""
     known = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("part", fold(F.col("doc_id"), FOLDS)).where(F.col("part") != HELD_OUT)
+    shares = {r.toxic: max(1.0, r.n / SAMPLE) for r in known.where(F.col("toxic").isin(0, 1)).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.where(F.col("toxic") == c).orderBy(*order).limit(SAMPLE) for c in (0, 1)]
     ids = chosen[0].union(chosen[1])
     texts = pick(docs, "doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
-    return texts.select("text", F.col("toxic").cast("int").alias("toxic"), "part")
+    return texts.select("text", F.col("toxic").cast("int").alias("toxic"), "part"), shares
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,13 +153,13 @@ def _rate(gains: np.ndarray, n_tokens: int) -> float:
     return low
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton's method."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
+    """Ridge logistic regression by Newton's method; each row counts ``weight`` times."""
     w = np.zeros(x.shape[1])
     ridge = np.diag([1e-3] + [1e-2] * (x.shape[1] - 1))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (y - p)) - ridge @ w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
@@ -166,8 +168,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from labelled rows outside the held-out fold, at most SAMPLE of each class. The lexicon comes from
-    three folds, extreme-value parameters and the logistic map from the fourth; without labels all scores are alike."""
-    sample = _sample(docs, labels)
+    three folds, extreme-value parameters and the logistic map from the fourth; without labels all scores are alike.
+    Where a class is cut to SAMPLE, its documents count as often as keeps the classes' true shares, so that neither the
+    prior of the lexicon nor the decision at 0.5 moves with the number of labels."""
+    sample, shares = _sample(docs, labels)
     learn, tune = sample.where(F.col("part") != CALIBRATION).distinct(), sample.where(F.col("part") == CALIBRATION).distinct()
     sizes = {r.toxic: r.n for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -178,7 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
         ).where(F.col("t") >= FEWEST)
         prior = PRIOR * (n_toxic + n_clean)
-        alpha = F.lit(prior) * (F.col("t") + F.col("c")) / (n_toxic + n_clean)
+        pooled = F.col("t") * shares[1] + F.col("c") * shares[0]
+        alpha = F.lit(prior) * pooled / (n_toxic * shares[1] + n_clean * shares[0])
         odds = lambda k, n: F.log((F.col(k) + alpha) / (n + prior - F.col(k) - alpha))
         delta = odds("t", n_toxic) - odds("c", n_clean)
         z = delta / F.sqrt(1 / (F.col("t") + alpha) + 1 / (F.col("c") + alpha))
@@ -202,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model.scale = len(tops) / mass if mass else 1.0
     x = np.array([model.features(r.n, r.places, r.gains)[0] for r in seen]).reshape(-1, 4)
     y = np.array([r.toxic for r in seen], dtype=float)
-    model.weights = _logistic(x, y) if len(y) and 0 < y.mean() < 1 else (-5.0, 0.0, 0.0, 0.0)
+    model.weights = _logistic(x, y, np.array([shares[r.toxic] for r in seen])) if len(y) and 0 < y.mean() < 1 else (-5.0, 0.0, 0.0, 0.0)
     return model
 
 
