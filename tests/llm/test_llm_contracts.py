@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chat_collapse, components, language_id, mixing, multiset_hash, packing, quality_votes, simhash, toxic_segments, url_rules
+from tidemark.llm import chat_collapse, components, language_id, mixing, multiset_hash, near_copies, packing, quality_votes, simhash, toxic_segments, url_rules
 from tidemark.llm.registry import ORACLES, QUERIES
 from verification.compare import connect, difference
 
@@ -189,6 +189,53 @@ def test_simhash_of_odd_and_empty_tables(spark):
     assert simhash.near_groups(empty_documents(spark)).count() == 0
 
 
+def brute_near(texts):
+    """Smallest id of each text's group, by five-word Jaccard of all pairs in exact integers."""
+    sets = {}
+    for i, t in texts.items():
+        words = (t or "").encode().lower().split()
+        n = min(5, len(words))
+        sets[i] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
+    ids, root = sorted(sets), {i: i for i in sets}
+    by_shingle = defaultdict(list)
+    for i in ids:
+        for s in sets[i] or {()}:
+            by_shingle[s].append(i)
+    for a, b in {(a, b) for group in by_shingle.values() for k, b in enumerate(group) for a in group[:k]}:
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    return root
+
+
+def test_near_copies_against_brute_jaccard(spark):
+    """Real texts, and clusters of edited copies and chains around the limit, also with signatures cut into blocks."""
+    real = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    random.seed(9)
+    made = {}
+    for base in range(6):
+        words = [f"w{random.randint(0, 10**6)}" for _ in range(120)]
+        for _ in range(15):
+            for _ in range(random.randint(0, 3)):
+                words[random.randrange(120)] = f"x{random.randint(0, 10**6)}"
+            made[len(made)] = " ".join(words)
+            if random.random() < 0.4:
+                made[len(made)] = " ".join(words[: random.randint(90, 119)])
+    for texts, block in ((real, 1024), (made, 1024), (made, 3)):
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        want = brute_near(texts)
+        got = {r.doc_id: r.component_id for r in near_copies.near_groups(docs, block).collect()}
+        assert got == want and len(set(want.values())) < len(want)
+        assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(want.values())
+
+
+def test_near_copies_of_odd_and_empty_tables(spark):
+    odd = odd_documents(spark)
+    kept = near_copies.one_per_group(odd)
+    assert kept.columns == odd.columns and 0 < kept.count() < odd.count()
+    assert near_copies.near_groups(odd).count() == 14 and near_copies.near_groups(empty_documents(spark)).count() == 0
+
+
 def check_pieces(rows, texts, segments=64):
     from tokenizers import Tokenizer
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -154,7 +154,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS)
     """
     prints = saved(fingerprints(docs, shingle), "simhash")
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
-    roots = components(link(nodes, most))
+    return classes(prints, nodes, link(nodes, most))
+
+
+def classes(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of the prints, by the components of the links between nodes (fp, low)."""
+    roots = components(links)
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = placed.join(lows, "root").select("fp", "component_id")
@@ -162,12 +167,16 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS)
 
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
-    """``docs`` with one row left of each group of near duplicates: that of the smallest doc_id, and of repeated rows one.
+    """``docs`` with one row left of each group of near duplicates: that of the smallest doc_id, and of repeated rows one."""
+    return keep_one(docs, near_groups(docs, shingle, most), lambda text: text_fingerprint(text, shingle))
+
+
+def keep_one(docs: DataFrame, groups: DataFrame, fingerprint: Callable[[bytes | None], int]) -> DataFrame:
+    """One row of ``docs`` for each component of ``groups`` (doc_id, fp, component_id).
 
     Rows meet the kept ids by doc_id. Only where an id comes more than once is the fingerprint worked out again, to
     tell its rows apart; among rows with the same id and fingerprint the first by the text's digest stays.
     """
-    groups = near_groups(docs, shingle, most)
     last = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp")
     winners = groups.groupBy("component_id").agg(F.min(last).alias("w")).select(F.col("w.doc_id").alias("_id"), F.col("w.fp").alias("_fp"))
     often = groups.groupBy("doc_id").agg((F.count("*") > 1).alias("_often")).withColumnRenamed("doc_id", "_again")
@@ -177,7 +186,7 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS
 
     @F.pandas_udf("long")
     def again(texts: pd.Series) -> pd.Series:
-        found = [text_fingerprint(None if t is None else t.encode(), shingle) for t in texts]
+        found = [fingerprint(None if t is None else t.encode()) for t in texts]
         return pd.Series(np.array(found, dtype=np.uint64).view(np.int64))
 
     text = F.col(at["text"])
