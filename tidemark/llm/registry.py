@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat_collapse, language_id, mixing, multiset_hash, packing, quality_votes, simhash, suffix_tree, toxic_segments, url_rules
+from tidemark.llm import (
+    chat_collapse, language_id, lexical_search, merkle, mixing, multiset_hash, packing, quality_votes, simhash, suffix_dedup, suffix_tree,
+    toxic_segments, url_rules,
+)
 
 
 def pipeline(spark, sf_dir: str):
@@ -23,6 +26,9 @@ QUERIES = {
     "op8_toxic_segments": toxic_segments.op8_toxic_segments,
     "op9_language_id": language_id.op9_language_id,
     "op10_chat_collapse": chat_collapse.op10_chat_collapse,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
     "pipeline": pipeline,
 }
 
@@ -32,4 +38,6 @@ ORACLES = {
     "op4_quality_votes": quality_votes.SQL,
     "op7_url_rules": url_rules.SQL,
     "op10_chat_collapse": chat_collapse.SQL,
+    "op11_lexical_search": lexical_search.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
