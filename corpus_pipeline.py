@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, mixing, near_copies, packing, toxic_segments
+from tidemark.llm import language_id, mixing, packing, simhash, toxic_segments
 from tidemark.llm.common import saved, table
 
 #: A document whose best language is less likely than this is rejected, as is one without a letter.
@@ -26,8 +26,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of five-word shingles of 0.8 or more."""
-    return near_copies.one_per_group(docs)
+    """One document of each group that the SimHash operator links, with the shingle length and bit distance of its contract."""
+    return simhash.one_per_group(docs, simhash.SHINGLE, simhash.MOST_BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: Trained models, near copies and subword ids have no SQL counterpart; tests check every stage by brute force.
+#: Trained models, fingerprints and subword ids have no SQL counterpart; tests check every stage by brute force.
 ORACLE_SQL = None
 
 
