@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chat_collapse, components, language_id, mixing, multiset_hash, near_copies, packing, quality_votes, simhash, toxic_segments, url_rules
+from tidemark.llm import chat_collapse, components, language_id, mixing, multiset_hash, packing, quality_votes, simhash, toxic_segments, url_rules
 from tidemark.llm.registry import ORACLES, QUERIES
 from verification.compare import connect, difference
 
@@ -189,53 +189,6 @@ def test_simhash_of_odd_and_empty_tables(spark):
     assert simhash.near_groups(empty_documents(spark)).count() == 0
 
 
-def brute_near(texts):
-    """Smallest id of each text's group, by five-word Jaccard of all pairs in exact integers."""
-    sets = {}
-    for i, t in texts.items():
-        words = (t or "").encode().lower().split()
-        n = min(5, len(words))
-        sets[i] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
-    ids, root = sorted(sets), {i: i for i in sets}
-    by_shingle = defaultdict(list)
-    for i in ids:
-        for s in sets[i] or {()}:
-            by_shingle[s].append(i)
-    for a, b in {(a, b) for group in by_shingle.values() for k, b in enumerate(group) for a in group[:k]}:
-        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-            low, high = sorted((root[a], root[b]))
-            root = {i: low if r == high else r for i, r in root.items()}
-    return root
-
-
-def test_near_copies_against_brute_jaccard(spark):
-    """Real texts, and clusters of edited copies and chains around the limit, also with signatures cut into blocks."""
-    real = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
-    random.seed(9)
-    made = {}
-    for base in range(6):
-        words = [f"w{random.randint(0, 10**6)}" for _ in range(120)]
-        for _ in range(15):
-            for _ in range(random.randint(0, 3)):
-                words[random.randrange(120)] = f"x{random.randint(0, 10**6)}"
-            made[len(made)] = " ".join(words)
-            if random.random() < 0.4:
-                made[len(made)] = " ".join(words[: random.randint(90, 119)])
-    for texts, block in ((real, 1024), (made, 1024), (made, 3)):
-        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-        want = brute_near(texts)
-        got = {r.doc_id: r.component_id for r in near_copies.near_groups(docs, block).collect()}
-        assert got == want and len(set(want.values())) < len(want)
-        assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(want.values())
-
-
-def test_near_copies_of_odd_and_empty_tables(spark):
-    odd = odd_documents(spark)
-    kept = near_copies.one_per_group(odd)
-    assert kept.columns == odd.columns and 0 < kept.count() < odd.count()
-    assert near_copies.near_groups(odd).count() == 14 and near_copies.near_groups(empty_documents(spark)).count() == 0
-
-
 def check_pieces(rows, texts, segments=64):
     from tokenizers import Tokenizer
 
@@ -346,18 +299,64 @@ def brute_segments(scores):
 def test_segments_against_brute_force():
     random.seed(2)
     for _ in range(200):
-        gains = [random.choice([0, 0, 0, 1, 2.5, 4]) for _ in range(random.randint(0, 25))]
-        scores = [g if g else -0.75 for g in gains]
-        places = [i for i, g in enumerate(gains) if g]
-        got = toxic_segments.segments(places, [gains[i] for i in places], 0.75)
-        assert [(a, b, round(s, 6)) for a, b, s in got] == [(a, b, round(s, 6)) for a, b, s in brute_segments(scores)]
+        gains = [random.choice([-0.75, -0.75, -0.75, 0, 1, 2.5, 4, -3]) for _ in range(random.randint(0, 25))]
+        got = toxic_segments.segments(np.array(gains))
+        assert [(a, b, round(s, 6)) for a, b, s in got] == [(a, b, round(s, 6)) for a, b, s in brute_segments(gains)]
+
+
+def area(scores, labels):
+    """Chance that a toxic text scores above a clean one, ties by half."""
+    one, two = (np.array([x for x, y in zip(scores, labels) if y == c]) for c in (1, 0))
+    return np.mean([(x > two).mean() + (x == two).mean() / 2 for x in one])
 
 
-def test_toxicity_held_out(spark):
+def test_toxicity_held_out_and_length(spark):
+    """Held-out texts as they are, and with 5,000 clean words behind them: the same predictions."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxic_segments.fit(docs, labels)
+    rows = [r for r in docs.join(labels, "doc_id").where("text is not null").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    calm = " ".join(r.text for r in rows if not r.toxic and model.passages(r.text)[1] < -1).split()
+    tail = " " + " ".join(calm[:5000])
+    truth = np.array([r.toxic for r in rows])
+    plain, long = (np.array([model.score(r.text + more)[0] for r in rows]) for more in ("", tail))
+    for got in (plain, long):
+        assert area(got, truth) >= 0.94
+        assert (got[truth == 0] < 0.5).mean() >= 0.98 and (got[truth == 1] >= 0.5).mean() >= 0.8
+    assert ((plain >= 0.5) == (long >= 0.5)).all()
+    scored = toxic_segments.score(docs.where("doc_id < 300"), model).collect()
+    assert all(r.toxic_pred == (r.toxic_score >= 0.5) and 0 <= r.toxic_score <= 1 for r in scored)
+    spans = [(s, toxic_segments.WORD.findall(r.text.lower())) for r in scored for s in r.toxic_spans]
+    assert spans and all(model.gain(w[s.first]) > 0 and model.gain(w[s.last]) > 0 and s.bits > 0 for s, w in spans)
+
+
+def test_toxicity_fit_against_brute_force(spark):
+    """Lexicon, lambda and K from the definitions, over the same folds."""
     sf = "/root/testdata/sf0.01"
-    rows = QUERIES["op8_toxic_segments"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
-    assert np.mean([r.predicted == r.toxic for r in rows]) >= 0.9
-    assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxic_segments.fit(docs, labels)
+    rows = {(r.text, r.toxic, zlib.crc32(str(r.doc_id).encode()) % 5) for r in docs.join(labels, "doc_id").where("text is not null").collect()}
+    learn = [r for r in rows if r[2] in (1, 2, 3)]
+    counts = [Counter(), Counter()]
+    for text, toxic, _ in learn:
+        counts[toxic].update({t for w in set(toxic_segments.WORD.findall(text.lower())) for t in toxic_segments.tokens_of(w)})
+    n = [sum(1 for r in learn if r[1] == c) for c in (0, 1)]
+    prior, want = toxic_segments.PRIOR * sum(n), {}
+    for token in counts[0].keys() | counts[1].keys():
+        c, t = counts[0][token], counts[1][token]
+        if c + t >= toxic_segments.FEWEST:
+            a = prior * (c + t) / sum(n)
+            delta = np.log((t + a) / (n[1] + prior - t - a)) - np.log((c + a) / (n[0] + prior - c - a))
+            if abs(delta) > toxic_segments.Z * np.sqrt(1 / (t + a) + 1 / (c + a)):
+                want[token] = delta
+    assert model.lexicon.keys() == want.keys() and all(abs(model.lexicon[t] - x) < 1e-9 for t, x in want.items())
+    clean = [model.gains(text) for text, toxic, part in rows if part == 4 and not toxic]
+    gains = np.append(np.concatenate(clean), toxic_segments.MOST / 2)
+    assert abs(np.mean(np.exp(model.rate * gains)) - 1) < 0.02
+    tops = [(len(g), max((s for _, _, s in brute_segments(list(g))), default=0.0)) for g in clean if len(g) < 300]
+    assert all(abs(top - max((s for _, _, s in toxic_segments.segments(g)), default=0.0)) < 1e-6 for (_, top), g in zip(tops, [g for g in clean if len(g) < 300]))
+    every = [(len(g), max((s for _, _, s in toxic_segments.segments(g)), default=0.0)) for g in clean]
+    assert abs(model.scale - len(every) / sum(size * np.exp(-model.rate * top) for size, top in every)) < 1e-6 * model.scale
 
 
 def test_toxicity_keeps_class_shares_beyond_the_sample(spark, monkeypatch):

@@ -14,43 +14,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_place, fold, pick, table
+from tidemark.llm.common import by_place, fold, pick, saved, table
 
 #: Labelled documents of each class that the model is fitted on, the first by hash of their id: the model's bound.
 SAMPLE = 20_000
 #: Entries of the lexicon, the most significant first: its size is part of the model and bounds the broadcast.
 LEXICON = 50_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
-#: The Dirichlet prior weighs as much as this share of the sampled documents; tokens need this z-score and so many toxic texts.
-PRIOR, Z, FEWEST = 0.05, 2.5, 3
-#: Word starts that count as tokens beside the word itself, so that inflected and compound forms share evidence.
-STEMS = (4, 5, 6)
-#: A token outside the lexicon costs this much; no token gains more than the most.
-DRIFT, MOST = 0.25, 8.0
-#: A passage is significant below this expected number of passages in clean text of the same length.
-EXPECT = 0.05
+#: The Dirichlet prior weighs as much as this share of the sampled documents; a token is in the lexicon from so many texts.
+PRIOR, FEWEST = 0.05, 5
+#: Log-odds count from this many standard deviations on: chance ones of rare tokens would else add up.
+Z = 3.0
+#: Word starts that stand for words outside the lexicon, longest first, so that inflected and compound forms share evidence.
+STEMS = (6, 5, 4)
+#: Each word costs this much beside its log-odds, so that passages of clean text lose on the whole; no log-odds exceed the most.
+DRIFT, MOST = 0.1, 8.0
+#: A passage is significant where clean text of this many words holds fewer than so many of its score.
+WINDOW, EXPECT = 1000, 0.02
+#: The most that one passage, and all, count for.
+BEST, ALL = 40.0, 80.0
 #: Words whose gain a worker remembers before it starts anew.
 MEMORY = 400_000
+#: Steps of the gains' histogram in one unit.
+STEPS = 64
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def tokens_of(word: str) -> list[str]:
-    """The word and its starts; starts end in ``*``."""
+    """The word and its starts, longest first; starts end in ``*``."""
     return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
 
 
-def segments(places: list[int], gains: list[float], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first, last place, score) of a sequence that gains at ``places`` and loses ``drift``
-    everywhere else, in one pass: candidates are kept with the running sums before and behind them, and a new one
-    swallows those from the last that starts lower and ends lower than it.
+def segments(gains: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (first, last place, score) of a sequence of signed gains, in one pass: candidates
+    are kept with the sums before and behind them, and a new one swallows those from the last that starts lower and
+    ends lower than it. Only places with a gain above 0 begin or end a segment.
     """
+    sums = np.append(0.0, np.cumsum(gains))
+    places = np.flatnonzero(gains > 0)
     out: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum behind
-    total, at = 0.0, -1
-    for place, gain in zip(places, gains):
-        total -= drift * (place - at - 1)
-        first, before = place, total
-        total += gain
-        at = place
+    for place, before, total in zip(places.tolist(), sums[places].tolist(), sums[places + 1].tolist()):
+        first = place
         while True:
             j = len(out) - 1
             while j >= 0 and out[j][2] >= before:
@@ -69,6 +73,7 @@ class Model:
     rate: float  # lambda of the extreme-value distribution
     scale: float  # K of the same
     weights: tuple[float, ...]
+    drift: float = DRIFT
 
     def __post_init__(self):
         self.memory: dict[str, float] = {}
@@ -77,32 +82,37 @@ class Model:
         return self.__dict__ | {"memory": {}}
 
     def gain(self, word: str) -> float:
-        """What a word adds: the most of its tokens' log-odds, 0 for none in the lexicon; remembered per worker."""
+        """What a word adds: the strongest log-odds of its tokens in the lexicon (0 for none), less the drift; remembered
+        per worker."""
         if len(self.memory) >= MEMORY:
             self.memory.clear()
-        found = self.memory[word] = max(self.lexicon.get(t, 0.0) for t in tokens_of(word))
+        found = self.memory[word] = max((self.lexicon.get(t, 0.0) for t in tokens_of(word)), key=abs) - self.drift
         return found
 
-    def hits(self, text: str | None) -> tuple[int, list[int], list[float]]:
+    def gains(self, text: str | None) -> np.ndarray:
         words = WORD.findall((text or "").lower())
         known = self.memory.get
-        gains = [self.gain(w) if (g := known(w)) is None else g for w in words]
-        places = [i for i, g in enumerate(gains) if g]
-        return len(words), places, [gains[i] for i in places]
+        return np.array([self.gain(w) if (g := known(w)) is None else g for w in words], dtype=float)
 
-    def features(self, n: int, places: list[int], gains: list[float]) -> tuple[tuple[float, ...], int]:
-        """Inputs of the logistic map, and the number of significant passages. A passage of score s among n tokens is
-        expected K n exp(-lambda s) times in clean text; its bits are the negative logarithm of that."""
-        found = segments(places, gains, DRIFT) if places else []
-        bits = [self.rate * s - math.log(max(self.scale * n, 1e-9)) for _, _, s in found]
-        significant = [b for b in bits if b > -math.log(EXPECT)]
-        best = max((self.rate * s for _, _, s in found), default=0.0)
-        return (1.0, min(best, 40.0), min(sum(significant), 80.0), math.log1p(n)), len(significant)
+    def bits(self, score: float) -> float:
+        """Significance of a passage: clean text holds K n exp(-lambda score) passages of its score in n words, and this
+        is how far that lies, as a logarithm, below the limit for a window of fixed length."""
+        return self.rate * score - math.log(max(self.scale * WINDOW, 1e-9) / EXPECT)
 
-    def score(self, text: str | None) -> tuple[float, int]:
-        values, count = self.features(*self.hits(text))
-        odds = sum(w * v for w, v in zip(self.weights, values))
-        return 1 / (1 + math.exp(-max(min(odds, 50.0), -50.0))), count
+    def passages(self, text: str | None) -> tuple[list[tuple[int, int, float]], float]:
+        """Significant passages (first, last word, bits), and the highest bits of any passage."""
+        found = [(a, b, self.bits(s)) for a, b, s in segments(self.gains(text))]
+        return [f for f in found if f[2] > 0], max((f[2] for f in found), default=-BEST)
+
+    def features(self, bits: list[float], best: float) -> tuple[float, ...]:
+        """Inputs of the logistic map. None depends on the text's length, and words without a significant passage add
+        nothing but what stays below the limit of significance."""
+        return (1.0, max(min(best, 0.0), -BEST / 4), min(max(best, 0.0), BEST), min(sum(bits), ALL))
+
+    def score(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
+        found, best = self.passages(text)
+        odds = sum(w * v for w, v in zip(self.weights, self.features([f[2] for f in found], best)))
+        return 1 / (1 + math.exp(-max(min(odds, 50.0), -50.0))), found
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
@@ -138,18 +148,14 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _rate(gains: np.ndarray, n_tokens: int) -> float:
-    """lambda > 0 with mean exp(lambda x score) = 1 over clean tokens; one hit is added so that it exists."""
-    hits = np.append(gains, gains.mean() if len(gains) else MOST / 2)
-    total = max(n_tokens, 1000) + 1
+def _rate(values: np.ndarray, counts: np.ndarray) -> float:
+    """lambda > 0 with mean exp(lambda x gain) = 1 over the words of clean texts, from a histogram of their gains; one
+    word of half the most gain is added so that it exists."""
+    values, counts = np.append(values, MOST / 2), np.append(counts, 1.0)
     low, high = 1e-6, 50.0 / MOST
-
-    def mean(x: float) -> float:
-        return (np.exp(x * hits).sum() + (total - len(hits)) * math.exp(-x * DRIFT)) / total - 1
-
     for _ in range(60):
         middle = (low + high) / 2
-        low, high = (middle, high) if mean(middle) < 0 else (low, middle)
+        low, high = (middle, high) if (counts * np.expm1(middle * values)).sum() < 0 else (low, middle)
     return low
 
 
@@ -166,66 +172,95 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return tuple(map(float, w))
 
 
+def _lexicon(learn: DataFrame, shares: dict[int, float]) -> dict[str, float]:
+    """Signed log-odds of tokens between toxic and clean texts, with a Dirichlet prior of both classes' pooled shares."""
+    sizes = {r.toxic: r.n for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not (n_toxic and n_clean):
+        return {}
+    counts = learn.select("text", "toxic").mapInArrow(_presence, "token string, toxic int, n long")
+    both = counts.groupBy("token").agg(
+        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
+    ).where(F.col("t") + F.col("c") >= FEWEST)
+    prior = PRIOR * (n_toxic + n_clean)
+    pooled = F.col("t") * shares[1] + F.col("c") * shares[0]
+    alpha = F.lit(prior) * pooled / (n_toxic * shares[1] + n_clean * shares[0])
+    odds = lambda k, n: F.log((F.col(k) + alpha) / (n + prior - F.col(k) - alpha))
+    delta = odds("t", n_toxic) - odds("c", n_clean)
+    deviation = F.sqrt(1 / (F.col("t") + alpha) + 1 / (F.col("c") + alpha))
+    sure = both.select("token", delta.alias("delta"), deviation.alias("deviation")).where(F.abs("delta") > Z * F.col("deviation"))
+    rows = sure.orderBy(F.desc(F.abs("delta") / F.col("deviation")), "token").limit(LEXICON).collect()
+    return {r.token: max(-MOST, min(r.delta, MOST)) for r in rows}
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from labelled rows outside the held-out fold, at most SAMPLE of each class. The lexicon comes from
-    three folds, extreme-value parameters and the logistic map from the fourth; without labels all scores are alike.
-    Where a class is cut to SAMPLE, its documents count as often as keeps the classes' true shares, so that neither the
-    prior of the lexicon nor the decision at 0.5 moves with the number of labels."""
+    three folds, extreme-value parameters and the logistic map from the fourth; without labels, or documents, all scores
+    are alike. A document with several labels is toxic if one of them says so, null labels and ids are left out, equal
+    texts of a class count once. Where a class is cut to SAMPLE, its documents count as often as keeps the classes' true
+    shares, so that neither the prior of the lexicon nor the decision at 0.5 moves with the number of labels. The driver
+    gets the lexicon, a histogram and four numbers for each text of the fourth fold, all bounded."""
     sample, shares = _sample(docs, labels)
-    learn, tune = sample.where(F.col("part") != CALIBRATION).distinct(), sample.where(F.col("part") == CALIBRATION).distinct()
-    sizes = {r.toxic: r.n for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    lexicon: dict[str, float] = {}
-    if n_toxic and n_clean:
-        counts = learn.select("text", "toxic").mapInArrow(_presence, "token string, toxic int, n long")
-        both = counts.groupBy("token").agg(
-            F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
-        ).where(F.col("t") >= FEWEST)
-        prior = PRIOR * (n_toxic + n_clean)
-        pooled = F.col("t") * shares[1] + F.col("c") * shares[0]
-        alpha = F.lit(prior) * pooled / (n_toxic * shares[1] + n_clean * shares[0])
-        odds = lambda k, n: F.log((F.col(k) + alpha) / (n + prior - F.col(k) - alpha))
-        delta = odds("t", n_toxic) - odds("c", n_clean)
-        z = delta / F.sqrt(1 / (F.col("t") + alpha) + 1 / (F.col("c") + alpha))
-        rows = both.select("token", delta.alias("delta"), z.alias("z")).where(F.col("z") >= Z).orderBy(F.desc("z"), "token").limit(LEXICON).collect()
-        lexicon = {r.token: min(r.delta, MOST) for r in rows}
-    model = Model(lexicon, 1.0, 1.0, (0.0, 0.0, 0.0, 0.0))
-
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sample = saved(sample.distinct(), "toxic-sample")
+    learn, tune = sample.where(F.col("part") != CALIBRATION), sample.where(F.col("part") == CALIBRATION).select("text", "toxic")
+    model = Model(_lexicon(learn, shares), 1.0, 1.0, (-5.0, 0.0, 0.0, 0.0))
+
+    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(4 * int(MOST) * STEPS, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                np.add.at(seen, np.round(model.gains(text) * STEPS).astype(int) + len(seen) // 2, 1)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_pydict({"step": at - len(seen) // 2, "n": seen[at]})
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, places, gains = zip(*map(model.hits, batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
-            yield pa.RecordBatch.from_pydict(
-                {"toxic": batch.column("toxic"), "n": pa.array(n, pa.int64()), "places": pa.array(places, pa.list_(pa.int64())), "gains": pa.array(gains, pa.list_(pa.float64()))}
-            )
-
-    # the sample is bounded, and so is this: class, length and hits of each of its texts
-    seen = tune.select("text", "toxic").mapInArrow(hits, "toxic int, n long, places array<long>, gains array<double>").collect()
-    clean = [r for r in seen if r.toxic == 0]
-    model.rate = _rate(np.array([g for r in clean for g in r.gains]), sum(r.n for r in clean))
-    tops = [(r.n, max((x for _, _, x in segments(r.places, r.gains, DRIFT)), default=0.0)) for r in clean]
-    mass = sum(n * math.exp(-model.rate * top) for n, top in tops)
-    model.scale = len(tops) / mass if mass else 1.0
-    x = np.array([model.features(r.n, r.places, r.gains)[0] for r in seen]).reshape(-1, 4)
-    y = np.array([r.toxic for r in seen], dtype=float)
-    model.weights = _logistic(x, y, np.array([shares[r.toxic] for r in seen])) if len(y) and 0 < y.mean() < 1 else (-5.0, 0.0, 0.0, 0.0)
+            gains = [model.gains(t) for t in batch.column("text").to_pylist()]
+            best = [max((s for _, _, s in segments(g)), default=0.0) for g in gains]
+            yield pa.RecordBatch.from_pydict({"n": pa.array(map(len, gains), pa.int64()), "best": pa.array(best, pa.float64())})
+
+    def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.passages(t) for t in batch.column("text").to_pylist()]
+            x = [model.features([f[2] for f in some], best) for some, best in found]
+            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "x": pa.array(x, pa.list_(pa.float64()))})
+
+    clean = tune.where("toxic = 0")
+    bins = clean.mapInArrow(histogram, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    model.rate = _rate(np.array([r.step / STEPS for r in bins]), np.array([float(r.n) for r in bins]))
+    mass = F.sum(F.col("n") * F.exp(-model.rate * F.col("best")))
+    seen = clean.mapInArrow(tops, "n long, best double").agg(F.count("*").alias("texts"), mass.alias("mass")).first()
+    model.scale = seen.texts / seen.mass if seen.mass else 1.0
+    rows = tune.mapInArrow(inputs, "toxic int, x array<double>").collect()  # bounded like the sample
+    y = np.array([r.toxic for r in rows], dtype=float)
+    if len(y) and 0 < y.mean() < 1:
+        model.weights = _logistic(np.array([r.x for r in rows]), y, np.array([shares[r.toxic] for r in rows]))
     return model
 
 
+SPANS = "array<struct<first:int,last:int,bits:double>>"
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with toxic_score (0 to 1), toxic_pred (1 from 0.5) and toxic_passages (significant ones) behind its columns.
+    """``docs`` with toxic_score (0 to 1), toxic_pred (1 from 0.5) and toxic_spans behind its columns.
 
-    Whole texts are scanned in linear time; null and empty texts score like texts without hits.
+    Spans are the significant passages: first and last word (letters only, from 0) and their bits. Whole texts are
+    scanned in linear time; null and empty texts score like texts without a passage, repeated rows alike, and an empty
+    table gives none. Clean words behind a text do not change its prediction, because passages are judged against a
+    window of fixed length.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("toxic_score double, toxic_passages long")
+    @F.pandas_udf(f"toxic_score double, toxic_spans {SPANS}")
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.score(t) for t in texts], columns=["toxic_score", "toxic_passages"])
+        found = [shared.value.score(t) for t in texts]
+        spans = [[{"first": a, "last": b, "bits": x} for a, b, x in some] for _, some in found]
+        return pd.DataFrame({"toxic_score": pd.Series([f[0] for f in found], dtype=float), "toxic_spans": pd.Series(spans, dtype=object)})
 
     plain, at, kept = by_place(docs)
     done = plain.withColumn("_found", run(F.col(at["text"])))
     found = F.col("_found.toxic_score")
-    return done.select(*kept, found.alias("toxic_score"), (found >= 0.5).cast("int").alias("toxic_pred"), F.col("_found.toxic_passages").alias("toxic_passages"))
+    return done.select(*kept, found.alias("toxic_score"), (found >= 0.5).cast("int").alias("toxic_pred"), F.col("_found.toxic_spans").alias("toxic_spans"))
 
 
 def op8_toxic_segments(spark, sf_dir: str) -> DataFrame:
@@ -233,7 +268,7 @@ def op8_toxic_segments(spark, sf_dir: str) -> DataFrame:
     scored = score(pick(docs, "doc_id", "text"), fit(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("toxic_score").alias("score"),
-        F.col("toxic_pred").alias("predicted"), F.col("toxic_passages").alias("n_passages"),
+        F.col("toxic_pred").alias("predicted"), F.size("toxic_spans").cast("long").alias("n_passages"),
     )
 
 
