@@ -151,8 +151,9 @@ class Packer:
                 at = int(np.where(fits, gain, -1.0).argmax())
                 n = int(self.needs[at, 0])
             else:
-                room = [self._fit(d, s, left) for d, s in zip(self.docs, self.start)]
-                at = int(np.argmax(room))
+                whole, bearing = self.needs[:, 0], self.needs[:, 2]
+                room = np.minimum(np.minimum(whole, left[0]), whole - bearing + left[2])
+                at = int(room.argmax())
                 n = room[at]
                 if n == 0:
                     break
