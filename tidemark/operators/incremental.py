@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import work_path
+from tidemark.operators import versioned
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -55,77 +55,19 @@ def merged(target: DataFrame, delta: DataFrame, *keys: str) -> DataFrame:
 def write_table(
     frame: DataFrame, path: str, day: str | None = None, cluster: tuple[str, ...] = (), grain: str = "day"
 ) -> None:
-    """Replace a table. ``day`` names the date or instant column whose date (or first day of its ``grain``)
-    partitions it; rows of a file are sorted by ``cluster`` so that row-group statistics can skip.
-
-    The rebalance hint lets adaptive execution split a very large day over several tasks and put small
-    days together, instead of one task per day.
-    """
-    if day is None:
-        placed = frame.sortWithinPartitions(*cluster) if cluster else frame
-        placed.write.mode("overwrite").parquet(path)
-        return
-    placed = _placed(frame, day, grain).hint("rebalance", "part_date").sortWithinPartitions("part_date", *cluster)
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part_date").parquet(path)
-
-
-def _placed(frame: DataFrame, day: str, grain: str) -> DataFrame:
-    return frame.withColumn("part_date", F.to_date(F.date_trunc(grain, day)))
+    """Replace a table in one step. ``day`` names the date or instant column whose date (or first day of its
+    ``grain``) partitions it; rows of a file are sorted by ``cluster`` so that row-group statistics can skip."""
+    versioned.write(frame, path, None if day is None else versioned.by_day(day, grain), cluster)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return versioned.read(spark, path)
 
 
 def upsert_table(
     delta: DataFrame, path: str, keys: tuple[str, ...], day: str, fixed_day: bool = False, grain: str = "day"
 ) -> int:
     """Merge ``delta`` into the table at ``path`` (written by :func:`write_table` with the same ``day`` and
-    ``grain``).
-
-    Only touched days are rewritten: those of the delta and, unless a key's day never changes
-    (``fixed_day``), those holding an older row of its keys. The new content of these days is written
-    aside in the shared folder first, then replaces them; a run that dies in between can be repeated.
-    Returns the number of days rewritten.
-    """
-    spark = delta.sparkSession
-    aside = work_path(spark, "upsert")
-    _placed(delta, day, grain).write.parquet(f"{aside}/delta")
-    fresh = spark.read.parquet(f"{aside}/delta")
-    target = read_table(spark, path)
-    touched = fresh.select("part_date").distinct()
-    if not fixed_day:
-        stale = target.select(*keys, "part_date").join(fresh.select(*keys), list(keys), "left_semi")
-        touched = touched.union(stale.select("part_date")).distinct()
-    days = [row.part_date for row in touched.collect()]  # calendar days, not rows
-    if not days:
-        return 0
-    in_days = F.col("part_date").isin(*[d for d in days if d is not None])
-    if any(d is None for d in days):
-        in_days = in_days | F.col("part_date").isNull()
-    content = merged(target.where(in_days), fresh, *keys)
-    content.write.parquet(f"{aside}/content")
-    content = spark.read.parquet(f"{aside}/content")
-    (
-        content.hint("rebalance", "part_date")
-        .sortWithinPartitions("part_date", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("part_date")
-        .parquet(path)
-    )
-    remaining = {row.part_date for row in content.select("part_date").distinct().collect()}
-    _drop_days(spark, path, [d for d in days if d not in remaining])
-    return len(days)
-
-
-def _drop_days(spark: SparkSession, path: str, days: list) -> None:
-    """Remove partitions all of whose rows moved elsewhere; an overwrite by partition leaves them alone."""
-    if not days:
-        return
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for day in days:
-        name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-        files.delete(hadoop.Path(root, f"part_date={name}"), True)
+    ``grain``) in one step; returns the number of days rewritten. Only touched days are: those of the delta and,
+    unless a key's day never changes (``fixed_day``), those holding an older row of its keys."""
+    return versioned.replace(delta, path, keys, versioned.by_day(day, grain), fixed_place=fixed_day)

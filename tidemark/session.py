@@ -52,8 +52,12 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/tidemark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any store that Spark reaches; the library's only use of the JVM's file system."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application wrote below the shared folder; call it when no result of it is read any more."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(f"{work_root(spark)}/tidemark/{context.applicationId}")
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, f"{work_root(spark)}/tidemark/{spark.sparkContext.applicationId}")

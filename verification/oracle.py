@@ -875,4 +875,6 @@ def oracles() -> dict[str, str]:
     return {
         **_models(), **_cdc(), **_stream_forms(), **_sales(), **_inventory(), **_clickboard(), **_sessionboard(),
         **_display(), **_checks(), **_jobs(),
+        # An incremental build ends with the rows of the full one.
+        **{f"inc_{n}": sql for n, sql in _models().items() if n.startswith(("fact_", "agg_"))},
     }
