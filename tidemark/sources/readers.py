@@ -118,10 +118,11 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None, years: in
 
 
 def read_products(spark: SparkSession, table_path: str, csv_path: str | None = None) -> DataFrame:
-    """The product dimension for enrichment: the stored table, or the CSV when there is none."""
+    """The product dimension for enrichment: the stored table, or the CSV when its path is missing. Any other error of
+    the table is an error."""
     try:
         return spark.read.parquet(table_path)
-    except AnalysisException:
-        if csv_path is None:
+    except AnalysisException as error:
+        if csv_path is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return read_csv(spark, csv_path, "products")
