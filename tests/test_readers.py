@@ -35,7 +35,7 @@ def test_product_table_first_csv_second(spark):
         readers.read_products(spark, f"{path}/none")
     spark.createDataFrame([(2, "t")], "id long, name string").write.parquet(f"{path}/table")
     assert rows(readers.read_products(spark, f"{path}/table", f"{path}/csv")) == [(2, "t")]
-    spark.createDataFrame([], "x string").write.csv(f"{path}/broken")
+    spark.createDataFrame([], "x int, d int").write.partitionBy("d").parquet(f"{path}/broken")
     with pytest.raises(AnalysisException):  # there, but no table: not silently the CSV
         readers.read_products(spark, f"{path}/broken", f"{path}/csv")
 
