@@ -44,6 +44,11 @@ NEEDS = {
     "agg_dashboard_daily": ("fact_orders", "fact_events"),
     "agg_user_stats": ("fact_orders", "dim_users"),
 }
+#: Source that each table's own rows come from.
+SOURCE_OF = {
+    "dim_distribution_centers": "distribution_centers", "dim_products": "products", "dim_users": "users",
+    "fact_inventory": "inventory_items", "fact_events": "events", "fact_order_items": "order_items", "fact_orders": "orders",
+}
 #: Days before the newest change seen that are read again, for changes that arrive late.
 LATE_DAYS = 3
 
@@ -74,7 +79,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, names: Iterable[str] = MARTS, grain: str = "day", late_days: int = LATE_DAYS):
         self.spark, self.root, self.grain, self.late_days = spark, root, grain, late_days
         self.names = closure(names)
-        self.sources = [s for s in SOURCES if s != "events" or "fact_events" in self.names]
+        self.sources = [SOURCE_OF[n] for n in self.names if n in SOURCE_OF]
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -128,12 +133,9 @@ class Lake:
         """Keys of every mart that the changes reach, over what is stored and over what is new."""
         since = {r.source: r.newest for r in versioned.read(self.spark, self.path("_state")).collect()}
         changed = {s: self._changed(w, s, since) for s in self.sources}
-        keys = {
-            "dim_distribution_centers": changed["distribution_centers"], "dim_products": changed["products"],
-            "dim_users": changed["users"],
-        }
+        keys = {n: changed[SOURCE_OF[n]] for n in self.names if n.startswith("dim_")}
         # A fact holds a dimension's surrogate key as long as the member exists: only members that come or go reach it.
-        flips = {n: self._aside(self._come_or_gone(w, n, keys[n]), "flips") for n in keys if n in self.names}
+        flips = {n: self._aside(self._come_or_gone(w, n, keys[n]), "flips") for n in keys}
         if "fact_inventory" in self.names:
             stock = self._plain("fact_inventory")
             old = F.timestamp_millis(F.lit(since["as_of"])) - F.expr(f"INTERVAL {SLOW_MOVING_DAYS} DAYS")
@@ -179,8 +181,7 @@ class Lake:
 
     def _come_or_gone(self, w: Warehouse, name: str, keys: DataFrame) -> DataFrame:
         """Of the changed members of a dimension those that are stored and no longer there, or there and not stored."""
-        source = {"dim_users": "users", "dim_products": "products", "dim_distribution_centers": "distribution_centers"}[name]
-        key = MARTS[name]
+        source, key = SOURCE_OF[name], MARTS[name]
         there = self._fresh(w, {source: keys})[f"stg_{source}"].select(F.col(key).alias("key"), F.lit(1).alias("new"))
         stored = self._plain(name).select(F.col(key).alias("key"), F.lit(1).alias("old"))
         met = keys.join(there, "key", "left").join(stored, "key", "left")
@@ -242,8 +243,7 @@ class Lake:
         own, key = keys[name], MARTS[name]
         dims = [d for d in ("dim_users", "dim_products", "dim_distribution_centers") if d in self.names and d != name]
         if name.startswith("dim_"):
-            source = {"dim_users": "users", "dim_products": "products"}.get(name, "distribution_centers")
-            fresh = self._fresh(w, {source: own})[name]
+            fresh = self._fresh(w, {SOURCE_OF[name]: own})[name]
         elif name == "fact_inventory":
             fresh = self._fresh(w, {"inventory_items": own}, dims)[name]
         elif name == "fact_events":
