@@ -15,11 +15,12 @@ from tidemark.plans import refresh, staging
 from tidemark.session import work_path
 from tidemark.sources import readers, sample
 from tidemark.streaming import cdc as cdc_jobs
-from tidemark.streaming import clickstream
+from tidemark.streaming import clickstream, ingest
 from tidemark.streaming.sinks import finish, start_batches, write_batch
 
 INCREMENT_FROM = dt.datetime(1999, 1, 1)
 SNAPSHOT_MS = 1_700_000_000_000
+SLICE_DAYS = 4
 LONG_AGO = 400 * 86_400  # lateness that lets a finished table through as one unordered backlog
 
 
@@ -131,18 +132,59 @@ def st_stream_split(spark, sf_dir):
     return valid.unionByName(dead).groupBy("outcome").agg(F.count("*").alias("messages"))
 
 
+def _ingested(spark: SparkSession, sf_dir: str, label: str, ttl_seconds: int, lateness_seconds: int) -> str:
+    """All messages through the ingest job in the order of their delivery, one micro-batch a slice of days."""
+    root = work_path(spark, label)
+    messages = sample.click_messages(spark, sf_dir, slice_days=SLICE_DAYS)
+    messages.write.partitionBy("slice").parquet(f"{root}/delivered")
+    delivered = spark.read.parquet(f"{root}/delivered")
+    slices = [row.slice for row in delivered.select("slice").distinct().orderBy("slice").collect()]  # a few days
+    products = staging.stg_products(sample.products(spark, sf_dir))
+    processed = F.col("ingested_at") + F.expr("INTERVAL 2 SECONDS")
+    for number in slices:
+        part = delivered.where(F.col("slice") == number).drop("slice")
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = readers.file_messages(spark, f"{root}/in", part.schema, per_batch=1_000_000)
+        finish(
+            ingest.ingest(
+                stream, products, f"{root}/t", f"{root}/state", ttl_seconds, lateness_seconds, processed,
+                F.col("timestamp"),
+            )
+        )
+    return f"{root}/t"
+
+
 def st_counters(spark, sf_dir):
-    """The counters the landing job reports with its progress."""
-    root = work_path(spark, "counters")
-    messages = sample.click_messages(spark, sf_dir, events=sample.event_stream(spark, sf_dir))
-    query = finish(clickstream.land_messages(messages, f"{root}/events", f"{root}/dead", f"{root}/state"))
-    seen = [p["observedMetrics"]["clicks"] for p in query.recentProgress if p.get("observedMetrics", {}).get("clicks")]
-    valid, invalid = (sum(int(s[i]) for s in seen) for i in ("valid_events", "invalid_events"))
-    return spark.range(1).select(
-        F.lit(valid).cast("bigint").alias("valid_events"), F.lit(invalid).cast("bigint").alias("invalid_events")
+    """Totals of the counters the ingest job stores with every micro-batch."""
+    root = _ingested(spark, sf_dir, "counters", clickstream.DEDUP_SECONDS, clickstream.LATENESS_SECONDS)
+    return ingest.counters(spark, root).agg(
+        F.sum("valid_events").alias("valid_events"), F.sum("invalid_events").alias("invalid_events")
     )
 
 
+def st_counters_by_batch(spark, sf_dir):
+    """All counters of the ingest job per micro-batch, with three days to live."""
+    root = _ingested(spark, sf_dir, "counters-batch", 3 * 86_400, clickstream.LATENESS_SECONDS)
+    return ingest.counters(spark, root)
+
+
+def st_lateness(spark, sf_dir):
+    """What the ingest job keeps with the configured time to live and lateness: each event's micro-batch, and the
+    watermark that a late one missed. Copies after the time to live are events again."""
+    root = _ingested(spark, sf_dir, "lateness", clickstream.DEDUP_SECONDS, clickstream.LATENESS_SECONDS)
+    columns = ("event_id", "ingested_at", "batch_id", "missed_watermark")
+    kept = ingest.on_time(spark, root).withColumn("missed_watermark", F.lit(None).cast("timestamp"))
+    return kept.select(*columns).unionByName(ingest.late(spark, root).select(*columns))
+
+
+def st_late_repair(spark, sf_dir):
+    """Five-minute aggregates of the events on time, repaired by the windows that late events touch."""
+    root = _ingested(spark, sf_dir, "repair", LONG_AGO, clickstream.LATENESS_SECONDS)
+    published = clicks.aggregate_5m(ingest.on_time(spark, root), F.col("window_end"))
+    repaired = ingest.repair_5m(spark, root, F.col("window_end") + F.expr("INTERVAL 10 DAYS"))
+    return clicks.events_5m_latest(published.unionByName(repaired)).drop("version_emitted_at")
+
+
 def st_stream_dedup(spark, sf_dir):
     """Deduplicated, enriched events from the stream; which copy of an event survives is not fixed."""
     root = work_path(spark, "dedup")
@@ -256,6 +298,9 @@ JOBS = {
     "sink_append_table": sink_append_table,
     "st_stream_split": st_stream_split,
     "st_counters": st_counters,
+    "st_counters_by_batch": st_counters_by_batch,
+    "st_lateness": st_lateness,
+    "st_late_repair": st_late_repair,
     "st_stream_dedup": st_stream_dedup,
     "st_stream_5m": st_stream_5m,
     "st_session_early": st_session_early,

@@ -300,10 +300,14 @@ def valid_clicks(spark: SparkSession, sf_dir: str, events: DataFrame | None = No
 
 
 def click_messages(
-    spark: SparkSession, sf_dir: str, only_bad: bool = False, events: DataFrame | None = None
+    spark: SparkSession, sf_dir: str, only_bad: bool = False, events: DataFrame | None = None,
+    slice_days: int | None = None,
 ) -> DataFrame:
     """JSON payloads as a broker would deliver them (``value``, transport ``timestamp``): each 7th event
-    uses the alias keys, each 25th comes twice, each 50th is broken in one of three ways."""
+    uses the alias keys, each 25th comes twice, each 50th is broken in one of three ways.
+
+    ``slice_days`` adds the ``slice`` of that many days in which a message is delivered; each 13th event and every
+    second copy are delivered a day after their arrival."""
     visits = _visits(table(spark, sf_dir, "events") if events is None else events)
     if only_bad:
         visits = visits.where("event_id % 50 = 0")
@@ -323,11 +327,14 @@ def click_messages(
     )
     named = f"to_json(named_struct('event_id', event_id, 'event_timestamp', {stamp('ts')}, {common}))"
     aliased = f"to_json(named_struct('id', event_id, 'created_at', {stamp('ts')}, {common}))"
+    held = _seconds("ingested", "IF(event_id % 13 = 0 OR delay > 0, 86400, 0)")
+    delivered = [] if slice_days is None else [f"unix_seconds({held}) div {slice_days * 86_400} AS slice"]
     return rows.selectExpr(
         "*", f"IF(event_id % 7 = 0, {aliased}, {named}) AS text"
     ).selectExpr(
         "IF(flaw = 2, substring(text, 1, 40), text) AS value",
         f"{_seconds('ingested', '1')} AS timestamp",
+        *delivered,
     )
 
 

@@ -46,6 +46,37 @@ def full(body: str, money: str = "", real: str = "") -> str:
     return f"WITH {heads} {outer}" if needed else outer
 
 
+# Messages by the slice of four days they are delivered in; slices are numbered as micro-batches.
+_HELD = "to_seconds(CASE WHEN event_id % 13 = 0 OR {again} THEN 86400 ELSE 0 END)"
+_DELIVERED = f"""
+SELECT *, dense_rank() OVER (ORDER BY slice) - 1 AS batch_id FROM (
+  SELECT TRUE AS valid, event_id, event_timestamp, ingested_at,
+         epoch(ingested_at + {_HELD.format(again="ingested_at - event_timestamp >= INTERVAL 1 HOUR")})::BIGINT // 345600 AS slice
+  FROM clicks
+  UNION ALL
+  SELECT FALSE, event_id, ts, NULL,
+         epoch(ts + to_seconds((event_id % 7)::INT) + {_HELD.format(again="FALSE")})::BIGINT // 345600
+  FROM visits WHERE event_id % 50 = 0)"""
+
+
+def _kept(ttl_seconds: int, lateness_seconds: int = 600) -> str:
+    """Events kept by the ingest job. All copies of an event carry one event time here, so an id is remembered from
+    its first batch until the watermark passes that time by the time to live, and never after."""
+    reach = (
+        "SELECT batch_id, max(max(event_timestamp) FILTER (valid))"
+        f" OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM ({_DELIVERED}) GROUP BY 1"
+    )
+    return (
+        "SELECT event_id, ingested_at, batch_id, CASE WHEN event_timestamp < reached - to_seconds({late})"
+        " THEN reached - to_seconds({late}) END AS missed_watermark"
+        " FROM (SELECT * FROM ({rows}) WHERE valid"
+        "       QUALIFY row_number() OVER (PARTITION BY batch_id, event_id ORDER BY ingested_at) = 1)"
+        " JOIN ({reach}) USING (batch_id)"
+        " QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY batch_id) = 1"
+        " OR event_timestamp + to_seconds({ttl}) <= reached"
+    ).format(late=lateness_seconds, ttl=ttl_seconds, rows=_DELIVERED, reach=reach)
+
+
 def _items(where: str = "TRUE") -> str:
     return f"(SELECT i.*, p.product_name, p.category, p.brand, p.department FROM fact_order_items i JOIN dim_products p USING (product_id) WHERE {CAL.replace('created_at', 'i.created_at')} AND {where})"
 
@@ -812,6 +843,16 @@ def _jobs() -> dict[str, str]:
             "SELECT (SELECT count(*) FROM clicks) AS valid_events,"
             " (SELECT count(*) FROM events_deadletter) AS invalid_events"
         ),
+        "st_counters_by_batch": full(
+            f"SELECT batch_id, valid_events, invalid_events, coalesce(n, 0) AS enriched_events,"
+            f" valid_events - coalesce(n, 0) AS duplicate_events, coalesce(late, 0) AS late_events"
+            f" FROM (SELECT batch_id, count(*) FILTER (valid) AS valid_events, count(*) FILTER (NOT valid) AS invalid_events"
+            f"       FROM ({_DELIVERED}) GROUP BY 1)"
+            f" LEFT JOIN (SELECT batch_id, count(*) AS n, count(missed_watermark) AS late FROM ({_kept(3 * 86_400)}) GROUP BY 1)"
+            f" USING (batch_id)"
+        ),
+        "st_lateness": full(_kept(3600)),
+        "st_late_repair": full("SELECT * EXCLUDE (version_emitted_at) FROM events_5m", real="avg_event_lag_seconds"),
         "st_stream_dedup": full(
             "SELECT DISTINCT event_id, session_id, event_type, page_type, product_id, product_name, is_conversion"
             " FROM events_raw"
