@@ -9,11 +9,10 @@ from tidemark.functions import UNKNOWN_ID, safe_divide
 from tidemark.plans.staging import MONEY
 
 
-def agg_dashboard_daily(orders: DataFrame, events: DataFrame, as_of: Column) -> DataFrame:
-    """Order money and event audience per day, days of either side kept."""
-    zero, epoch = F.lit(0).cast(MONEY), F.timestamp_seconds(F.lit(0))
-    day = F.to_date("created_at").alias("date")
-    by_order = orders.groupBy(day).agg(
+def daily_orders(orders: DataFrame) -> DataFrame:
+    """Order money per day."""
+    zero = F.lit(0).cast(MONEY)
+    return orders.groupBy(F.to_date("created_at").alias("date")).agg(
         *[
             F.coalesce(F.sum(source), zero).alias(name)
             for name, source in (("revenue", "total_revenue"), ("cost", "total_cost"), ("margin", "gross_margin"))
@@ -21,18 +20,26 @@ def agg_dashboard_daily(orders: DataFrame, events: DataFrame, as_of: Column) ->
         F.count("order_id").alias("orders"),  # the fact has one row per order
         F.max("source_updated_at").alias("orders_changed"),
     )
-    # Distinct counts run over one row per visitor and session instead of every event.
-    visits = events.groupBy(day, "user_id", "session_id").agg(
+
+
+def daily_audience(events: DataFrame) -> DataFrame:
+    """Visitors and sessions per day; distinct counts run over one row per visitor and session."""
+    visits = events.groupBy(F.to_date("created_at").alias("date"), "user_id", "session_id").agg(
         F.bool_or("is_checkout_event").alias("bought"), F.max("source_updated_at").alias("changed")
     )
-    by_event = visits.groupBy("date").agg(
+    return visits.groupBy("date").agg(
         F.count_distinct("user_id").alias("total_users"),
         F.count_distinct("session_id").alias("total_sessions"),
         F.count_distinct(F.when(F.col("bought"), F.col("session_id"))).alias("purchase_sessions"),
         F.max("changed").alias("events_changed"),
     )
+
+
+def agg_dashboard_daily(orders: DataFrame, events: DataFrame, as_of: Column) -> DataFrame:
+    """Order money and event audience per day, days of either side kept."""
+    zero, epoch = F.lit(0).cast(MONEY), F.timestamp_seconds(F.lit(0))
     counts = ("orders", "total_users", "total_sessions", "purchase_sessions")
-    return by_order.join(by_event, "date", "full").select(
+    return daily_orders(orders).join(daily_audience(events), "date", "full").select(
         "date",
         *[F.coalesce(F.col(c), zero).alias(c) for c in ("revenue", "cost", "margin")],
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts],

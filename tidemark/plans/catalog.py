@@ -335,11 +335,11 @@ RAW, WINDOWS, SESSIONS = "v_events_raw_dedup", "v_events_5m_latest", "v_session_
 
 
 def _sold(query, *extra, items="item_measures"):
-    return lambda w: query(w[items], w["dim_products"], *CAL, *extra)
+    return lambda w: query(w.days(items, *CAL), w["dim_products"], *CAL, *extra)
 
 
 def _orders(query, *extra, orders="order_headers"):
-    return lambda w: query(w[orders], *CAL, *extra)
+    return lambda w: query(w.days(orders, *CAL), *CAL, *extra)
 
 
 def _stock(query, *dims, aged: bool = False):
@@ -356,8 +356,8 @@ def _clicks(query, *inputs, scope=CLK_OF, **options):
 
 def _top_trend(trend, performance, label, n):
     return lambda w: postprocess.top_trend(
-        trend(w["item_lines"], w["dim_products"], *CAL),
-        performance(w["item_measures"], w["dim_products"], *CAL), label, n,
+        trend(w.days("item_lines", *CAL), w["dim_products"], *CAL),
+        performance(w.days("item_measures", *CAL), w["dim_products"], *CAL), label, n,
     )
 
 
@@ -395,15 +395,15 @@ OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q_latest_timestamp": lambda w: sales.newest(w[RAW], "event_timestamp", "latest_timestamp"),
     "q_latest_window": lambda w: sales.newest(w[WINDOWS], "window_start", "latest_window"),
     "q_latest_session": lambda w: sales.newest(w[SESSIONS], "session_end", "latest_session"),
-    "q_sales_kpis": lambda w: sales.sales_kpis(w["agg_dashboard_daily"], *CAL),
-    "q_revenue_trend": lambda w: sales.revenue_trend(w["agg_dashboard_daily"], *CAL),
+    "q_sales_kpis": lambda w: sales.sales_kpis(w.daily(*CAL, "orders"), *CAL),
+    "q_revenue_trend": lambda w: sales.revenue_trend(w.daily(*CAL), *CAL),
     "q_top_products": _sold(sales.top_products),
     "q_top_products_by_brand": _sold(sales.top_products, BRANDS),
     "q_product_brands": _sold(sales.product_brands, items="item_lines"),
     "q_order_value_distribution": _orders(sales.order_value_distribution, orders="order_measures"),
     "q_order_status_stats": _orders(sales.order_status_stats),
     "q_order_type_stats": _orders(sales.order_type_stats),
-    "q_orders_by_city": lambda w: sales.orders_by_city(w["order_headers"], w["dim_users"], *CAL),
+    "q_orders_by_city": lambda w: sales.orders_by_city(w.days("order_headers", *CAL), w["dim_users"], *CAL),
     "q_category_performance": _sold(sales.category_performance),
     "q_category_performance_by_brand": _sold(sales.category_performance, BRANDS),
     "q_product_scatter": _sold(sales.product_scatter),
@@ -416,12 +416,12 @@ OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q_brand_trend_by_brand": _sold(sales.brand_trend, BRANDS, items="item_lines"),
     "q_category_trend": _sold(sales.category_trend, items="item_lines"),
     "q_category_trend_by_brand": _sold(sales.category_trend, BRANDS, items="item_lines"),
-    "q_marketing_kpis": lambda w: sales.marketing_kpis(w["agg_dashboard_daily"], *CLK),
+    "q_marketing_kpis": lambda w: sales.marketing_kpis(w.daily(*CLK, "audience"), *CLK),
     "q_user_segments": lambda w: sales.user_segments(w["dim_users"], w["agg_user_stats"]),
-    "q_traffic_cvr": lambda w: sales.traffic_cvr(w["event_visits"], *CLK),
+    "q_traffic_cvr": lambda w: sales.traffic_cvr(w.days("event_visits", *CLK), *CLK),
     "q_latest_traffic_date": lambda w: sales.latest_traffic_date(w["event_visits"]),
     "q_traffic_cvr_latest_window": lambda w: sales.traffic_cvr_latest_window(w["event_visits"], CLICKS_END),
-    "q_ops_kpis": lambda w: sales.ops_kpis(w["order_headers"], w["item_lines"], *CAL),
+    "q_ops_kpis": lambda w: sales.ops_kpis(w.days("order_headers", *CAL), w.days("item_lines", *CAL), *CAL),
     "q_delivery_histogram": _orders(sales.delivery_histogram),
     # inventory
     "q_inventory_status": _stock(stock.inventory_status, aged=True),
@@ -477,7 +477,7 @@ OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q_session_quality": _clicks(sessionboard.session_quality, SESSIONS, scope=CLK),
     # display post-processing
     "pp_melt": lambda w: postprocess.melt(
-        sales.revenue_trend(w["agg_dashboard_daily"], *CAL), ["date"], ["revenue", "margin"]
+        sales.revenue_trend(w.daily(*CAL), *CAL), ["date"], ["revenue", "margin"]
     ),
     "pp_p99_trim": lambda w: postprocess.trimmed_histogram(
         sales.order_value_distribution(w["order_measures"], *CAL), "order_value"

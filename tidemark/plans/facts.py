@@ -183,6 +183,13 @@ def order_totals(order_items: DataFrame) -> DataFrame:
     )
 
 
+def order_revenue(orders: DataFrame, lines: DataFrame, as_of: Column) -> DataFrame:
+    """Order headers with the revenue of their items, which needs no cost: neither stock nor products are read."""
+    totals = lines.groupBy(F.col("order_id").alias("_order")).agg(F.sum("sale_price").alias("total_revenue"))
+    joined = lookup(order_headers(orders, as_of), totals, "order_id", "_order")
+    return joined.withColumn("total_revenue", F.coalesce("total_revenue", F.lit(0).cast(MONEY)))
+
+
 def order_measures(orders: DataFrame, order_items: DataFrame, as_of: Column) -> DataFrame:
     """Order headers with the money of their items; ``order_items`` has cost and profit."""
     totals = order_totals(order_items).withColumnRenamed("order_id", "_order")

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import between_dates, on_dates
 from tidemark.operators import clicks, incremental, sessions
 from tidemark.plans import aggregates, dimensions, facts
 from tidemark.plans.staging import STAGING
@@ -40,7 +41,7 @@ LAYERS = {
     "fact_events": ("event_visits",),
     "fact_inventory": ("stock_measures",),
     "fact_order_items": ("item_lines", "item_measures"),
-    "fact_orders": ("order_headers", "order_measures"),
+    "fact_orders": ("order_headers", "order_revenue", "order_measures"),
 }
 
 Model = Callable[["Warehouse"], DataFrame]
@@ -67,6 +68,7 @@ class Warehouse(Mapping[str, DataFrame]):
         self.deletes = deletes
         self.gap = clustering_gap
         self._frames: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}  # tables, with the day of their folders
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -91,21 +93,49 @@ class Warehouse(Mapping[str, DataFrame]):
             day, cluster = LAYOUT[name]
             path = f"{root}/{name}"
             incremental.write_table(self[name], path, day, cluster)
-            self._frames[name] = incremental.read_table(spark, path).drop("part_date")
-            for layer in LAYERS.get(name, ()):
-                self._frames[layer] = self._frames[name]
+            self._store(name, incremental.read_table(spark, path))
         return self
 
+    def _store(self, name: str, table: DataFrame) -> None:
+        for model in (name, *LAYERS.get(name, ())):
+            self._stored[model] = table
+            self._frames[model] = table.drop("part_date")
+
+    def days(self, name: str, start, end) -> DataFrame:
+        """A model for a report over the instants ``created_at`` of whole days, which the report still filters: of a
+        stored table only the folders of those days are read."""
+        table = self._stored.get(name)
+        if table is None or "part_date" not in table.columns:
+            return self[name]
+        return table.where(on_dates("part_date", start, end)).drop("part_date")
+
+    def daily(self, start, end, side: str = "both") -> DataFrame:
+        """The daily aggregate between two days. Where it is no stored table, the range is applied to orders and
+        events before they are aggregated, and with one ``side`` (``orders``, ``audience``) the other is not read:
+        its days would add nothing to a sum."""
+        if "agg_dashboard_daily" in self._stored:
+            return self["agg_dashboard_daily"].where(on_dates("date", start, end))
+        ranged = between_dates("created_at", start, end)
+
+        def orders() -> DataFrame:
+            return self.days("order_measures", start, end).where(ranged)
+
+        def visits() -> DataFrame:
+            return self.days("event_visits", start, end).where(ranged)
+
+        if side == "orders":
+            return aggregates.daily_orders(orders())
+        if side == "audience":
+            return aggregates.daily_audience(visits())
+        return aggregates.agg_dashboard_daily(orders(), visits(), self.as_of)
+
     @classmethod
     def open(cls, spark: SparkSession, root: str, as_of: Column, names: Iterable[str] = LAYOUT) -> Warehouse:
         """A warehouse over tables written earlier."""
-        inputs = {name: _reader(spark, f"{root}/{name}") for name in names}
-        inputs |= {layer: inputs[name] for name in names for layer in LAYERS.get(name, ())}
-        return cls(inputs, as_of)
-
-
-def _reader(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
-    return lambda: incremental.read_table(spark, path).drop("part_date")
+        opened = cls({}, as_of)
+        for name in names:
+            opened._store(name, incremental.read_table(spark, f"{root}/{name}"))
+        return opened
 
 
 def _calendar(w: Warehouse) -> DataFrame:
@@ -137,6 +167,7 @@ MODELS: dict[str, Model] = {
         w["stg_order_items"], w["stg_inventory_items"], w["dim_products"], w.as_of
     ),
     "order_headers": lambda w: facts.order_headers(w["stg_orders"], w.as_of),
+    "order_revenue": lambda w: facts.order_revenue(w["stg_orders"], w["item_lines"], w.as_of),
     "order_measures": lambda w: facts.order_measures(w["stg_orders"], w["item_measures"], w.as_of),
     "fact_events": lambda w: facts.fact_events(w["stg_events"], w["dim_users"], w.as_of),
     "fact_inventory": lambda w: facts.fact_inventory(
@@ -148,7 +179,7 @@ MODELS: dict[str, Model] = {
     ),
     "fact_orders": lambda w: facts.fact_orders(w["stg_orders"], w["item_measures"], w["dim_users"], w.as_of),
     "agg_dashboard_daily": lambda w: aggregates.agg_dashboard_daily(w["order_measures"], w["event_visits"], w.as_of),
-    "agg_user_stats": lambda w: aggregates.agg_user_stats(w["dim_users"], w["order_measures"], w.as_of),
+    "agg_user_stats": lambda w: aggregates.agg_user_stats(w["dim_users"], w["order_revenue"], w.as_of),
     "events_raw": lambda w: clicks.enrich(w["clicks"], w["stg_products"], w.processed_at),
     "events_first": lambda w: clicks.first_seen(w["events_raw"]),
     "events_5m": _five_minutes,
