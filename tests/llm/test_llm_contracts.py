@@ -386,6 +386,19 @@ def test_language_held_out(spark):
     assert np.mean([r.lang_pred == r.lang for r in rows]) >= 0.98
 
 
+@pytest.mark.parametrize("most", [1, 7, 40, 10_000])
+def test_language_sample_is_the_first_by_hash(spark, most):
+    """Also with one language holding nearly all rows, repeated rows, null ids and null languages."""
+    rows = [(i, "en") for i in range(3000)] + [(i, "de") for i in range(20)] + [(5, "en")] * 500 + [(None, "fr"), (None, "fr"), (1, None)]
+    ids = spark.createDataFrame(rows, "doc_id long, lang string").repartition(13)
+    hashed = [tuple(r) for r in ids.distinct().where("lang is not null").select("lang", F.xxhash64("doc_id"), "doc_id").collect()]
+    expected = Counter()
+    for lang in ("en", "de", "fr"):
+        first = sorted((r for r in hashed if r[0] == lang), key=lambda r: r[1])[:most]
+        expected.update((r[2], lang) for r in first)
+    assert Counter(tuple(r) for r in language_id.sample_ids(ids, most).collect()) == expected
+
+
 def test_language_score_by_hand(spark):
     model = language_id.Model(["a", "b"], [{"yes": 0}, {"q": 0}, {}, {"^zz": 0}, {}, {}], [np.array([[-1.0, -3.0]]), np.array([[-2.0, -1.0]]), np.zeros((0, 2)), np.array([[-5.0, -4.0]]), np.zeros((0, 2)), np.zeros((0, 2))])
     assert model.predict("yes")[0] == "a" and model.predict("zzz")[0] == "b" and model.predict("q q q")[0] == "b"

@@ -124,14 +124,29 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _out(counts)
 
 
+def sample_ids(ids: DataFrame, most: int) -> DataFrame:
+    """The ``most`` distinct (doc_id, lang) pairs of each language that come first by hash of the id, then by id.
+
+    Pairs are first counted by language and the 16 leading bits of the hash; a language's pairs beyond the bits in which
+    it reaches ``most`` cannot be among them. So what one task ranks is the sample and a 65,536th of a language, also
+    where one language holds all rows. Repeated pairs count once, a null id is an id, null languages are left out.
+    """
+    pairs = checkpointed(ids.where("lang is not null").distinct().withColumn("place", F.xxhash64("doc_id")))
+    pairs = pairs.withColumn("bits", F.shiftright("place", 48))
+    before = F.sum("n").over(W.partitionBy("lang").orderBy("bits").rowsBetween(W.unboundedPreceding, -1))
+    counted = pairs.groupBy("lang", "bits").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    last = counted.where(F.col("before") < most).groupBy("lang").agg(F.max("bits").alias("last"))
+    ahead = pairs.join(last, "lang").where(F.col("bits") <= F.col("last"))
+    ranked = ahead.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("place", "doc_id")))
+    return ranked.where(F.col("rank") <= most).select("doc_id", "lang")
+
+
 def fit(docs: DataFrame) -> Model:
     """The model from texts with a language outside the held-out fold, at most SAMPLE per language."""
     given = pick(docs, "doc_id", "text", "lang").where("text is not null and lang is not null")
     given = given.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # ids alone are ranked; at most SAMPLE ids per language are broadcast to the texts
-    ids = given.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE)
-    ids = ids.select("doc_id", "lang").distinct()
+    # ids alone are ranked, and only those that can be among the first; at most SAMPLE ids a language are broadcast
+    ids = sample_ids(given.select("doc_id", "lang"), SAMPLE)
     sample = given.join(F.broadcast(ids), ["doc_id", "lang"]).select("text", "lang")
     shape, keys = "lang string, kind int, gram string, n long", ["lang", "kind", "gram"]
     words = checkpointed(sample.mapInArrow(_count_words, shape).groupBy(*keys).agg(F.sum("n").alias("n")))
