@@ -53,6 +53,17 @@ def cells_by(events: DataFrame, cell: Column) -> DataFrame:
     )
 
 
+def add_cells(cells: DataFrame, fresh: str) -> DataFrame:
+    """Cells of separate batches added up; ``fresh`` marks those of the newest and holds for the sum."""
+    return cells.groupBy(*CELL_KEYS).agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.min("first_event").alias("first_event"),
+        *[F.sum(c).alias(c) for c in _COUNTS],
+        F.bool_or(fresh).alias(fresh),
+    )
+
+
 def assign_sessions(cells: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     """Adds ``session_cell``: the first cell of the session a cell belongs to."""
     ordered = Window.partitionBy("session_id").orderBy("cell")
@@ -133,3 +144,12 @@ def session_metrics_latest(versions: DataFrame) -> DataFrame:
 def session_window_latest(versions: DataFrame) -> DataFrame:
     """Latest version per session window, so that every window of a split id survives."""
     return latest_by(versions, ["session_id", "session_start"], ["version_emitted_at"])
+
+
+def session_windows_current(versions: DataFrame) -> DataFrame:
+    """The sessions as they stand: versions that a later one contains are left out. Sessions only grow and join, so an
+    older version lies inside the window that took it in, also where that window starts earlier."""
+    ordered = Window.partitionBy("session_id").orderBy("session_start", F.desc("session_end"), F.desc("event_count"))
+    before = F.max("session_end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    marked = versions.withColumn("_before", before)
+    return marked.where(F.col("_before").isNull() | (F.col("session_end") > F.col("_before"))).drop("_before")

@@ -6,6 +6,7 @@ Every run works in a fresh folder below the shared one.
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ from tidemark.plans import refresh, staging
 from tidemark.session import work_path
 from tidemark.sources import readers, sample
 from tidemark.streaming import cdc as cdc_jobs
-from tidemark.streaming import clickstream, ingest
+from tidemark.streaming import clickstream, ingest, panes
 from tidemark.streaming.sinks import finish, start_batches, write_batch
 
 INCREMENT_FROM = dt.datetime(1999, 1, 1)
 SNAPSHOT_MS = 1_700_000_000_000
 SLICE_DAYS = 4
+PANE_LATENESS = 2 * 86_400  # half a slice, so that windows end early, on time, late and final
 LONG_AGO = 400 * 86_400  # lateness that lets a finished table through as one unordered backlog
 
 
@@ -132,7 +134,9 @@ def st_stream_split(spark, sf_dir):
     return valid.unionByName(dead).groupBy("outcome").agg(F.count("*").alias("messages"))
 
 
-def _ingested(spark: SparkSession, sf_dir: str, label: str, ttl_seconds: int, lateness_seconds: int) -> str:
+def _ingested(
+    spark: SparkSession, sf_dir: str, label: str, ttl_seconds: int, lateness_seconds: int, start=ingest.ingest
+) -> str:
     """All messages through the ingest job in the order of their delivery, one micro-batch a slice of days."""
     root = work_path(spark, label)
     messages = sample.click_messages(spark, sf_dir, slice_days=SLICE_DAYS)
@@ -146,9 +150,9 @@ def _ingested(spark: SparkSession, sf_dir: str, label: str, ttl_seconds: int, la
         part.write.mode("append").parquet(f"{root}/in")
         stream = readers.file_messages(spark, f"{root}/in", part.schema, per_batch=1_000_000)
         finish(
-            ingest.ingest(
-                stream, products, f"{root}/t", f"{root}/state", ttl_seconds, lateness_seconds, processed,
-                F.col("timestamp"),
+            start(
+                stream, products, f"{root}/t", f"{root}/state", ttl_seconds, lateness_seconds, processed_at=processed,
+                failed_at=F.col("timestamp"), every=None,
             )
         )
     return f"{root}/t"
@@ -185,6 +189,22 @@ def st_late_repair(spark, sf_dir):
     return clicks.events_5m_latest(published.unionByName(repaired)).drop("version_emitted_at")
 
 
+def st_panes(spark, sf_dir):
+    """Every pane of the five-minute aggregates, with its number and kind, over ordered micro-batches with two days of
+    lateness; the stream is drained at the end, so each aggregate has a final pane."""
+    root = _ingested(spark, sf_dir, "panes", LONG_AGO, PANE_LATENESS, partial(panes.start, outputs=["panes"]))
+    batches = ingest.counters(spark, root).count()
+    panes.emit_panes(spark, root, batches, F.current_timestamp(), PANE_LATENESS, drain=True)
+    return panes.panes(spark, root).drop("version_emitted_at")
+
+
+def st_session_batches(spark, sf_dir):
+    """Session metrics of the events on time, kept up by ordered micro-batches that store touched sessions only."""
+    root = _ingested(spark, sf_dir, "session-batches", LONG_AGO, PANE_LATENESS, partial(panes.start, outputs=["sessions"]))
+    current = sessions.session_windows_current(panes.session_versions(spark, root))
+    return current.drop("version_emitted_at", "processed_at", "batch_id")
+
+
 def st_stream_dedup(spark, sf_dir):
     """Deduplicated, enriched events from the stream; which copy of an event survives is not fixed."""
     root = work_path(spark, "dedup")
@@ -301,6 +321,8 @@ JOBS = {
     "st_counters_by_batch": st_counters_by_batch,
     "st_lateness": st_lateness,
     "st_late_repair": st_late_repair,
+    "st_panes": st_panes,
+    "st_session_batches": st_session_batches,
     "st_stream_dedup": st_stream_dedup,
     "st_stream_5m": st_stream_5m,
     "st_session_early": st_session_early,

@@ -47,18 +47,18 @@ def ingest_batch(
     spark = batch.sparkSession
     processed_at = F.current_timestamp() if processed_at is None else processed_at
     failed_at = F.current_timestamp() if failed_at is None else failed_at
-    reached = _reached(spark, root, batch_id - 1)
+    before = reached(spark, root, batch_id - 1)
     parsed = clicks.parse_events(batch).persist()
     first = clicks.first_seen(clicks.valid_events(parsed))
-    if reached is not None:
-        alive = _alive(spark, root, batch_id, reached - ttl_seconds * _SECOND)
+    if before is not None:
+        alive = _alive(spark, root, batch_id, before - ttl_seconds * _SECOND)
         first = first.join(alive, "event_id", "left_anti")
-    missed = None if reached is None else reached - lateness_seconds * _SECOND
+    missed = None if before is None else before - lateness_seconds * _SECOND
     behind = F.lit(False) if missed is None else F.unix_micros("event_timestamp") < missed
     events = clicks.enrich(first, products, processed_at).withColumn("_late", behind).persist()
     try:
         seen = _seen(parsed)
-        newest = max((n for n in (seen.newest, reached) if n is not None), default=None)
+        newest = max((n for n in (seen.newest, before) if n is not None), default=None)
         by_day = events.drop("_late").hint("rebalance", "event_date")
         write_batch(by_day.where(~behind), batch_id, f"{root}/events", ("event_date",))
         watermark = F.timestamp_micros(F.lit(missed).cast("bigint"))
@@ -71,8 +71,8 @@ def ingest_batch(
             write_batch(keys, batch_id, f"{root}/keys", ("hour",))
         made = events.agg(F.count("*").alias("events"), F.count_if("_late").alias("late")).first()
         _count(spark, batch_id, root, newest, seen.valid, seen.invalid, made.events, seen.valid - made.events, made.late)
-        if reached is not None:
-            _forget(spark, root, reached - ttl_seconds * _SECOND)  # not more: this batch may be repeated
+        if before is not None:
+            _forget(spark, root, before - ttl_seconds * _SECOND)  # not more: this batch may be repeated
     finally:
         events.unpersist()
         parsed.unpersist()
@@ -107,6 +107,13 @@ def counters(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/counters").select("batch_id", *COUNTERS)
 
 
+def reached(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """Newest event time, in microseconds, after a batch; batches are numbered without gaps."""
+    if batch_id < 0:
+        return None
+    return spark.read.parquet(f"{root}/counters/batch_id={batch_id}").first().newest
+
+
 def repair_5m(spark: SparkSession, root: str, emitted_at: Column, since_batch: int = 0) -> DataFrame:
     """New versions of the five-minute aggregates that the late events of the batches from ``since_batch`` on change.
 
@@ -139,13 +146,6 @@ def _count(spark: SparkSession, batch_id: int, root: str, newest: int | None, *c
     write_batch(spark.range(1, numPartitions=1).select(*row, F.lit(newest).cast("bigint").alias("newest")), batch_id, f"{root}/counters")
 
 
-def _reached(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    """Newest event time, in microseconds, after a batch; batches are numbered without gaps."""
-    if batch_id < 0:
-        return None
-    return spark.read.parquet(f"{root}/counters/batch_id={batch_id}").first().newest
-
-
 def _alive(spark: SparkSession, root: str, batch_id: int, expired: int) -> DataFrame:
     """Ids of earlier batches whose time to live is not over; whole hours before it are not read."""
     keys = spark.read.schema(_KEYS).parquet(f"{root}/keys").where(F.col("batch_id") < batch_id)

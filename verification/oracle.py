@@ -77,6 +77,51 @@ def _kept(ttl_seconds: int, lateness_seconds: int = 600) -> str:
     ).format(late=lateness_seconds, ttl=ttl_seconds, rows=_DELIVERED, reach=reach)
 
 
+def _punctual(lateness_seconds: int) -> str:
+    """First copies of events, enriched, that the ingest job found on time, with their micro-batch."""
+    return (
+        f"SELECT e.*, k.batch_id FROM events_first e JOIN ({_kept(400 * 86_400, lateness_seconds)}) k USING (event_id)"
+        " WHERE k.missed_watermark IS NULL"
+    )
+
+
+def _panes(lateness_seconds: int) -> str:
+    """Micro-batches in which an aggregate has a pane: those of its events, and those in which the watermark passes the
+    window's end (``on_time``) and the end of its lateness (``closing``); one more micro-batch ends the stream."""
+    dims = "event_date, traffic_source, browser, event_type, page_type, window_start"
+    same = " AND ".join(f"e.{c.strip()} IS NOT DISTINCT FROM p.{c.strip()}" for c in dims.split(","))
+    return f"""
+    WITH marks AS (
+      SELECT batch_id, max(max(event_timestamp) FILTER (valid)) OVER (ORDER BY batch_id) AS reached, FALSE AS ends
+      FROM ({_DELIVERED}) GROUP BY 1),
+    steps AS (SELECT * FROM marks UNION ALL SELECT max(batch_id) + 1, max(reached), TRUE FROM marks),
+    ev AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start FROM ({_punctual(lateness_seconds)})),
+    win AS (
+      SELECT window_start,
+             min(batch_id) FILTER (ends OR reached >= window_start + INTERVAL 5 MINUTE) AS on_time,
+             min(batch_id) FILTER (ends OR reached >= window_start + INTERVAL 5 MINUTE + to_seconds({lateness_seconds})) AS closing
+      FROM (SELECT DISTINCT window_start FROM ev), steps GROUP BY 1),
+    agg AS (SELECT {dims}, min(batch_id) AS opened FROM ev GROUP BY ALL),
+    pane AS (
+      SELECT {dims}, batch_id FROM ev
+      UNION SELECT {dims}, on_time FROM agg JOIN win USING (window_start) WHERE opened <= on_time
+      UNION SELECT {dims}, closing FROM agg JOIN win USING (window_start))
+    SELECT strftime(p.window_start, '%Y-%m-%dT%H:%M:%S+00:00') || '|' || p.event_date || '|' || coalesce(p.traffic_source, '')
+             || '|' || coalesce(p.browser, '') || '|' || p.event_type || '|' || p.page_type AS aggregate_id,
+           p.window_start, p.window_start + INTERVAL 5 MINUTE AS window_end, p.event_date, p.traffic_source, p.browser,
+           p.event_type, p.page_type, count(*) AS total_events, count(DISTINCT e.session_id) AS unique_sessions,
+           count(DISTINCT e.user_id) AS unique_users, count(*) FILTER (e.is_conversion) AS purchase_events,
+           sum(e.event_lag_seconds) / count(e.event_lag_seconds) AS avg_event_lag_seconds,
+           CASE WHEN p.batch_id = any_value(w.closing) THEN 'final' WHEN p.batch_id = any_value(w.on_time) THEN 'on_time'
+                WHEN p.batch_id > any_value(w.on_time) THEN 'late' ELSE 'early' END AS kind,
+           any_value(s.reached) AS watermark, p.batch_id,
+           row_number() OVER (PARTITION BY p.window_start, p.event_date, p.traffic_source, p.browser, p.event_type, p.page_type
+                              ORDER BY p.batch_id) - 1 AS pane
+    FROM pane p JOIN ev e ON {same} AND e.batch_id <= p.batch_id
+    JOIN win w ON w.window_start = p.window_start JOIN steps s ON s.batch_id = p.batch_id
+    GROUP BY p.window_start, p.event_date, p.traffic_source, p.browser, p.event_type, p.page_type, p.batch_id"""
+
+
 def _items(where: str = "TRUE") -> str:
     return f"(SELECT i.*, p.product_name, p.category, p.brand, p.department FROM fact_order_items i JOIN dim_products p USING (product_id) WHERE {CAL.replace('created_at', 'i.created_at')} AND {where})"
 
@@ -853,6 +898,12 @@ def _jobs() -> dict[str, str]:
         ),
         "st_lateness": full(_kept(3600)),
         "st_late_repair": full("SELECT * EXCLUDE (version_emitted_at) FROM events_5m", real="avg_event_lag_seconds"),
+        "st_panes": full(f"SELECT * FROM ({_panes(2 * 86_400)})", real="avg_event_lag_seconds"),
+        "st_session_batches": full(
+            "SELECT * EXCLUDE (version_emitted_at, processed_at)"
+            f" FROM ({session_metrics('(' + _punctual(2 * 86_400) + ')')})",
+            real="session_duration_seconds",
+        ),
         "st_stream_dedup": full(
             "SELECT DISTINCT event_id, session_id, event_type, page_type, product_id, product_name, is_conversion"
             " FROM events_raw"
