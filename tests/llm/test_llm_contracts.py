@@ -287,6 +287,28 @@ def test_url_parts_and_rules(spark):
     assert url_rules.judge(pages.where("false")).count() == 0
 
 
+def test_url_rules_of_a_very_long_path_against_brute_force(spark):
+    """A third of the labelled URLs share one path of 25 pieces; others hold some of its pieces, shuffled."""
+    random.seed(7)
+    trap = [f"p:{i:02}" for i in range(25)]
+    rows = [(random.sample(trap, 25), "block")] * 100 + [(["h:a", "h:b", random.choice("xyz")], random.choice(["allow", "allow", "block"])) for _ in range(200)]
+    rows += [(["h:a", "p:00", "p:01"], "allow")] * 4 + [([], "allow")]
+    expected = set()
+    sets = sorted({t for tokens, _ in rows for t in tokens})
+    held = {t: {i for i, (tokens, _) in enumerate(rows) if t in tokens} for t in sets}
+    for rule in [(t,) for t in sets] + [(a, b) for a in sets for b in sets if a < b]:
+        met = set.intersection(*(held[t] for t in rule))
+        for verdict in ("allow", "block"):
+            both = sum(rows[i][1] == verdict for i in met)
+            if both >= 0.01 * len(rows) and both / len(met) >= 0.6:
+                expected.add((rule, verdict, round(both / len(met), 9)))
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string").repartition(5)
+    mined = url_rules.mine(labelled, confidence=0.6).collect()
+    assert {(tuple(r.tokens), r.verdict, round(r.confidence, 9)) for r in mined} == expected and len(mined) == len(expected)
+    assert any(rule == ("p:02", "p:24") for rule, *_ in expected)
+    assert url_rules.mine(labelled.where("false")).count() == 0
+
+
 def brute_segments(scores):
     """Ruzzo and Tompa by definition: the best segment, then the same left and right of it."""
     best = max(((sum(scores[i : j + 1]), -(j - i), -i) for i in range(len(scores)) for j in range(i, len(scores))), default=(0, 0, 0))

@@ -53,15 +53,55 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     """(tokens, verdict, confidence, support) of association rules tokens -> label, from (tokens, verdict) rows.
 
     FP-growth runs distributed over the baskets token set + label; what comes back is pruned by support, confidence
-    and length. ``support`` is a share, so the number of frequent sets does not grow with the table.
+    and length. ``support`` is a share, so the number of frequent sets does not grow with the table. Tokens that occur
+    in exactly the same baskets, as the pieces of one much-visited path do, are mined as one and spelled out in the
+    rules afterwards: FP-growth enumerates every subset of what it is given. An empty table gives no rule.
     """
     label = F.when(F.col("verdict") == "block", F.lit(BLOCK)).otherwise(F.lit(ALLOW))
-    baskets = labelled.select(F.concat("tokens", F.array(label)).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    baskets = labelled.select("tokens", label.alias("label"))
+    twins = _twins(baskets, support)
+    # at most (mean tokens of a basket) / support tokens are frequent, so few can be left out
+    left_out = [row.token for row in twins.where("token <> lead").select("token").collect()]
+    kept = F.array_except("tokens", F.lit(left_out).cast("array<string>")) if left_out else F.col("tokens")
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets.select(F.concat(kept, F.array("label")).alias("items")))
     rules = model.associationRules.where(F.size("consequent") == 1).withColumn("label", F.col("consequent")[0])
     rules = rules.where(F.col("label").isin(BLOCK, ALLOW)).where(F.size("antecedent") <= most_tokens)
     rules = rules.where(~F.arrays_overlap("antecedent", F.array(F.lit(BLOCK), F.lit(ALLOW))))
-    return rules.select(F.array_sort("antecedent").alias("tokens"), F.substr("label", F.lit(2)).alias("verdict"), "confidence", "support")
+    rules = rules.select(F.col("antecedent").alias("leads"), F.substr("label", F.lit(2)).alias("verdict"), "confidence", "support")
+    return _spelled_out(rules, twins, most_tokens)
+
+
+def _twins(baskets: DataFrame, support: float) -> DataFrame:
+    """(token, lead) of each frequent token; tokens of exactly the same baskets share the first of them as lead. The
+    baskets of a token are compared by two 64-bit hashes over them, each distinct basket once."""
+    sets = baskets.groupBy(F.array_sort("tokens").alias("tokens"), "label").agg(F.count("*").alias("n"))
+    marked = sets.select("n", F.xxhash64("tokens", "label").alias("x"), F.xxhash64("label", "tokens").alias("y"), F.explode("tokens").alias("token"))
+    seen = marked.groupBy("token").agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    total = baskets.count()
+    return saved(
+        seen.where(F.col("n") >= support * total).groupBy("n", "x", "y")
+        .agg(F.min("token").alias("lead"), F.collect_list("token").alias("tokens"))  # frequent tokens only: bounded
+        .select("lead", F.explode("tokens").alias("token")),
+        "twins",
+    )
+
+
+def _spelled_out(rules: DataFrame, twins: DataFrame, most_tokens: int) -> DataFrame:
+    """Each rule over leads as the rules over their tokens: all sets of at most ``most_tokens`` tokens that hold one of
+    every lead. Tokens are added in ascending order, so each set comes up once."""
+    none = F.array().cast("array<string>")
+    grown, whole = rules.withColumn("tokens", none).withColumn("used", none), None
+    for _ in range(most_tokens):
+        added = grown.withColumn("lead", F.explode("leads")).join(twins, "lead")
+        last = F.try_element_at("tokens", F.lit(-1))
+        added = added.where(last.isNull() | (F.col("token") > last))
+        grown = added.select(
+            "leads", "verdict", "confidence", "support", F.concat("tokens", F.array("token")).alias("tokens"),
+            F.array_union("used", F.array("lead")).alias("used"),
+        )
+        done = grown.where(F.size("used") == F.size("leads")).select("tokens", "verdict", "confidence", "support")
+        whole = done if whole is None else whole.union(done)
+    return whole
 
 
 def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
