@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -152,3 +153,23 @@ def test_daily_aggregate_keeps_both_sides(spark, as_of):
     assert [(float(r.revenue), r.orders, r.total_users, r.total_sessions, r.purchase_sessions, r.purchase_cvr) for r in found] == [
         (5, 1, 0, 0, 0, 0.0), (0, 0, 2, 2, 1, 0.5)
     ]
+
+
+def test_lookups_of_order_items_shuffle_ids_alone(spark, capsys):
+    from tidemark.plans.catalog import warehouse
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        capsys.readouterr()
+        warehouse(spark, "/root/testdata/sf0.001")["fact_order_items"].explain("formatted")
+        plan = capsys.readouterr().out
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\((\w+)", plan)
+    wide = [by for columns, by in moved if "status#" in columns]
+    assert len(moved) > 6 and set(wide) == {"order_item_id"}
+    assert not [by for columns, by in moved if "_key#" in columns]
