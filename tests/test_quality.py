@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows, ts
 from tidemark.operators import quality
 from tidemark.operators.quality import Check
-from tidemark.plans import checks
+from tidemark.plans import catalog, checks
 
 DAY = ts("2024-01-10 00:00:00")
 
@@ -62,3 +62,11 @@ def test_freshness_levels(spark, as_of):
 
     found = quality.freshness({"users": log(3), "orders": log(5), "events": log(30), "distribution_centers": log(900)}, as_of)
     assert rows(found.select("source_table", "status"), "source_table") == [("events", "error"), ("orders", "pass"), ("users", "warn")]
+
+
+def test_reports_read_models_that_were_made_once(spark):
+    """Every test of a report reads stored columns; none makes a model again."""
+    w = catalog.warehouse(spark, "/root/testdata/sf0.001")
+    for report in (catalog.dq_report(w), catalog.dq_mart_report(w)):
+        files = report.inputFiles()
+        assert files and all("/aside-" in f for f in files)
