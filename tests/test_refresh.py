@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import catalog, refresh
+from tidemark.plans.staging import STAGING
 from tidemark.session import work_path
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +64,23 @@ def test_old_items_reach_their_orders_and_users(spark, monkeypatch):
     # the items moved: their old order lost money too
     assert lake["fact_orders"].where("order_id = 7").first().total_revenue == 0
     assert lake["agg_user_stats"].where("user_id = 11").count() == 1
+
+
+def test_a_build_stages_stock_once_and_frees_each_steps_shuffles(spark, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen, staged = spark.conf.get(key), [], []
+    write, stage = refresh.versioned.write, STAGING["stg_inventory_items"]
+
+    def watched(*args):
+        seen.append(spark.conf.get(key))
+        write(*args)
+
+    def counted(*args):
+        staged.append(args)
+        return stage[0](*args)
+
+    monkeypatch.setattr(refresh.versioned, "write", watched)
+    monkeypatch.setitem(STAGING, "stg_inventory_items", (counted, stage[1]))
+    refresh.Lake(spark, work_path(spark, "freed"), ["fact_order_items"], grain="year").build(catalog.warehouse(spark, SF))
+    assert set(seen) == {"true"} and spark.conf.get(key) == before
+    assert len(staged) == 1
