@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from tests.conftest import rows, ts
+from tidemark.operators.shape import place_of
 from tidemark.plans import aggregates, dimensions, facts
 from tidemark.plans.staging import MONEY
 
@@ -173,3 +174,19 @@ def test_lookups_of_order_items_shuffle_ids_alone(spark, capsys):
     wide = [by for columns, by in moved if "status#" in columns]
     assert len(moved) > 6 and set(wide) == {"order_item_id"}
     assert not [by for columns, by in moved if "_key#" in columns]
+
+
+def test_item_money_is_the_money_of_the_item_measures(spark, as_of):
+    """Cost of the stock, of the product, or none; stock without cost, missing keys and a stock that brings its place."""
+    made = items(
+        spark,
+        (1, 10, 1, 5, 100, "Complete", DAY, None, None, None, 9.0), (2, 10, 1, 5, None, "Complete", DAY, None, None, None, 8.0),
+        (3, 10, 1, 6, 101, "Complete", DAY, None, None, None, 7.0), (4, 11, 1, 77, None, "Complete", DAY, None, None, None, 6.0),
+        (5, 11, 1, 5, 999, "Complete", DAY, None, None, None, 5.0),
+    )
+    stock = inventory(spark, (100, 5, DAY, None, 1.0, 1), (101, 6, DAY, None, None, 1), (None, 5, DAY, None, 50.0, 1))
+    sold = products(spark, (5, 3.0, 2.0), (6, 3.0, 2.5))
+    wanted = rows(facts.item_measures(made, stock, sold, as_of).select("order_id", "sale_price", "cost", "profit"), "sale_price")
+    assert sorted(float(r[2]) for r in wanted) == [0.0, 1.0, 2.0, 2.0, 2.5]
+    for side in (stock, stock.withColumn("_place", place_of(F.col("inventory_item_id")))):
+        assert rows(facts.item_money(made, side, sold), "sale_price") == wanted

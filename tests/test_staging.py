@@ -97,3 +97,26 @@ def test_very_many_copies_of_one_key(spark):
     assert rows(staged.where("order_id = 1").select("cdc_timestamp")) == [(6999,)]
     plan = staged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2  # one row per key leaves each task
+
+
+def test_wanted_columns_pick_the_same_rows_and_move_no_others(spark):
+    """Three versions tie on the change and on product and center; the cost decides, texts behind it cannot."""
+    names = (
+        "id long, product_id long, created_at timestamp, sold_at timestamp, cost double, product_category string, product_name string,"
+        " product_brand string, product_retail_price double, product_department string, product_sku string,"
+        " product_distribution_center_id long, cdc_timestamp long, cdc_operation string"
+    )
+    day = ts("2024-01-01 00:00:00")
+    versions = [
+        (key, 7, day, None, cost, "c", name, "b", 1.0, "d", "s", center, 1000, "c")
+        for key in (1, 2, None)
+        for cost, name, center in ((5.0, "a", 3), (5.0, "z", 4), (4.0, "zz", 9))
+    ]
+    bronze = spark.createDataFrame(versions, names)
+    whole = staging.stg_inventory_items(bronze)
+    thin = staging.stg_inventory_items(bronze, wanted=("cost", "_place"))
+    assert rows(thin.select("inventory_item_id", "cost")) == rows(whole.select("inventory_item_id", "cost"))
+    shuffled = [line for line in thin._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert shuffled and not any("product_sku" in line or "product_name" in line for line in shuffled)
+    live = staging.stg_inventory_items(bronze, deletes="tombstone", wanted=("cost",))
+    assert live.columns == ["inventory_item_id", "cost"] and live.count() == 3
