@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 from functools import partial
 
 import pytest
@@ -84,3 +85,18 @@ def test_a_build_stages_stock_once_and_frees_each_steps_shuffles(spark, monkeypa
     refresh.Lake(spark, work_path(spark, "freed"), ["fact_order_items"], grain="year").build(catalog.warehouse(spark, SF))
     assert set(seen) == {"true"} and spark.conf.get(key) == before
     assert len(staged) == 1
+
+
+def test_a_refresh_without_old_versions_leaves_one_copy_of_each_row(spark, tmp_path):
+    """No replaced run or folder, and nothing put aside, stays on disk; the rows are those of a full build."""
+    asides = f"{work_path(spark, 'x').rsplit('/', 1)[0]}"
+    before = {p.name for p in pathlib.Path(asides).glob("re*")}
+    current = catalog.warehouse(spark, SF)
+    lake = refresh.Lake(spark, str(tmp_path / "lake"), ["fact_inventory"], grain="year", keep_old=False)
+    lake.build(refresh.sources_until(current, dt.datetime(1999, 1, 1)))
+    lake.refresh(current)
+    stored, want = lake["fact_inventory"].drop("part_date").select(current["fact_inventory"].columns), current["fact_inventory"]
+    assert stored.exceptAll(want).count() == 0 and want.exceptAll(stored).count() == 0
+    on_disk = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "lake" / "fact_inventory" / "data"))
+    assert on_disk.count() == want.count()
+    assert {p.name for p in pathlib.Path(asides).glob("re*")} <= before
