@@ -132,3 +132,18 @@ def test_repair_touches_only_windows_of_late_events(spark):
     published = clicks.aggregate_5m(ingest.on_time(spark, root), F.col("window_end") - F.expr("INTERVAL 1 DAY"))
     latest = clicks.events_5m_latest(published.unionByName(repaired))
     assert rows(latest.select("total_events"), "window_start") == [(3,), (2,)]
+
+
+def test_only_the_products_that_a_batch_names_take_part_in_its_enrichment(spark, monkeypatch):
+    root = work_path(spark, "ingest")
+    catalog = spark.range(1, 1000).selectExpr("id", "concat('c', id) AS category", "'d' AS department", "CAST(null AS STRING) AS name")
+    real, met = clicks.enrich, []
+    monkeypatch.setattr(clicks, "enrich", lambda events, products, at: (met.append(products.count()), real(events, products, at))[1])
+    unknown = json.dumps(json.loads(message(3, 2)[0]) | {"uri": "/product/5000"}), START
+    none = json.dumps(json.loads(message(4, 3)[0]) | {"uri": None}), START
+    ingest.ingest_batch(spark.createDataFrame([message(1, 0), message(2, 1), unknown, none], MESSAGE), 0, catalog, root)
+    assert met == [1]
+    found = ingest.on_time(spark, root).select("event_id", "product_id", "product_category", "product_department", "product_name")
+    assert rows(found, "event_id") == [
+        (1, 42, "c42", "d", None), (2, 42, "c42", "d", None), (3, 5000, None, None, None), (4, None, None, None, None),
+    ]
