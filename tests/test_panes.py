@@ -108,3 +108,20 @@ def test_empty_batches_and_unknown_outputs(spark):
     with pytest.raises(ValueError):
         panes.start(spark.createDataFrame([], MESSAGE), products, root, root, outputs=["pane"])
     assert clickstream.EARLY_SECONDS == 60
+
+
+def test_a_batch_reads_its_events_and_the_stored_cells_once(spark, monkeypatch):
+    root = work_path(spark, "panes")
+    feed(spark, root, [message(1, 1)], [message(2, 2), message(3, 3, session="t")])
+    panes.emit_sessions(spark, root, 0, F.current_timestamp())
+    real, read = panes.write_batch, []
+
+    def counting(batch, batch_id, path, partitions):
+        read.append(batch._jdf.queryExecution().analyzed().toString().count("Relation ["))
+        real(batch, batch_id, path, partitions)
+
+    monkeypatch.setattr(panes, "write_batch", counting)
+    panes.emit_sessions(spark, root, 1, F.current_timestamp())
+    assert read == [2, 2]
+    versions = panes.session_versions(spark, root).select("session_id", "batch_id", "event_count")
+    assert rows(versions, "session_id", "batch_id") == [("s", 0, 1), ("s", 1, 2), ("t", 1, 1)]
