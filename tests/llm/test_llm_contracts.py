@@ -393,6 +393,26 @@ def test_toxicity_keeps_class_shares_beyond_the_sample(spark, monkeypatch):
     assert abs(means[1] - means[0]) < 0.04, means
 
 
+def test_toxicity_of_words_that_clean_texts_hold_by_chance(spark):
+    """A stem that toxic texts repeat (one word in 50) and every fourth clean text holds once."""
+    rng = random.Random(5)
+    parts = ["la", "de", "ción", "os", "mi", "ra", "que", "jo", "ñue", "ar", "llo", "en"]
+
+    def text(toxic):
+        size = rng.randint(200, 400)
+        words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(size)]
+        for place in rng.sample(range(size), size // 50 if toxic else int(rng.random() < 0.25)):
+            words[place] = "bomente" + rng.choice(parts)
+        return " ".join(words)
+
+    rows = [(i, text(i % 10 == 0), int(i % 10 == 0)) for i in range(1500)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxic_segments.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    held = [(model.score(t)[0] >= 0.5, toxic) for i, t, toxic in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([got for got, toxic in held if toxic]) >= 0.9
+    assert np.mean([not got for got, toxic in held if not toxic]) >= 0.98
+
+
 def test_toxicity_of_odd_and_empty_tables(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (5, 1, 0), (None, 0, 1), (77, 1, None)], "doc_id long, quality int, toxic int")
     docs = odd_documents(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +27,12 @@ PRIOR, FEWEST = 0.05, 5
 Z = 3.0
 #: Word starts that stand for words outside the lexicon, longest first, so that inflected and compound forms share evidence.
 STEMS = (6, 5, 4)
-#: Each word costs this much beside its log-odds, so that passages of clean text lose on the whole; no log-odds exceed the most.
-DRIFT, MOST = 0.1, 8.0
+#: What a word adds is lowered by so many standard deviations, and left out below the least.
+SURE, LEAST = 2.0, 0.5
+#: A text counts a token once, and once more for each so many words, so that a run of one word is no evidence.
+APART = 20
+#: Each word costs at least this much beside its gain, so that passages of clean text lose on the whole; no gain exceeds the most.
+DRIFT, MOST = 0.01, 8.0
 #: A passage is significant where clean text of this many words holds fewer than so many of its score.
 WINDOW, EXPECT = 1000, 0.02
 #: The most that one passage, and all, count for.
@@ -36,7 +40,7 @@ BEST, ALL = 40.0, 80.0
 #: Words whose gain a worker remembers before it starts anew.
 MEMORY = 400_000
 #: Steps of the gains' histogram in one unit.
-STEPS = 64
+STEPS = 1024
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -69,7 +73,8 @@ def segments(gains: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass
 class Model:
-    lexicon: dict[str, float]
+    lexicon: dict[str, float]  # log-odds of a text that holds the token
+    rates: dict[str, float]  # surely known log ratio of how often the token is met among a toxic and a clean text's words
     rate: float  # lambda of the extreme-value distribution
     scale: float  # K of the same
     weights: tuple[float, ...]
@@ -82,11 +87,10 @@ class Model:
         return self.__dict__ | {"memory": {}}
 
     def gain(self, word: str) -> float:
-        """What a word adds: the strongest log-odds of its tokens in the lexicon (0 for none), less the drift; remembered
-        per worker."""
+        """What a word adds: the strongest log ratio of its tokens (0 for none), less the drift; remembered per worker."""
         if len(self.memory) >= MEMORY:
             self.memory.clear()
-        found = self.memory[word] = max((self.lexicon.get(t, 0.0) for t in tokens_of(word)), key=abs) - self.drift
+        found = self.memory[word] = max((self.rates.get(t, 0.0) for t in tokens_of(word)), key=abs) - self.drift
         return found
 
     def gains(self, text: str | None) -> np.ndarray:
@@ -128,22 +132,37 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, fl
     return texts.select("text", F.col("toxic").cast("int").alias("toxic"), "part"), shares
 
 
+def _most(words: Sequence) -> float:
+    """How often a text counts a token at most."""
+    return 1 + len(words) / APART
+
+
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, toxic, n): in how many texts of each class a token is; pre-added, emptied when large."""
+    """(token, toxic, n, met): in how many texts of each class a token is, and how often; pre-added, emptied when large."""
     counts: Counter = Counter()
+    met: Counter = Counter()
 
     def out():
-        return pa.RecordBatch.from_pydict(
-            {"token": [k[0] for k in counts], "toxic": pa.array([k[1] for k in counts], pa.int32()), "n": list(counts.values())}
-        )
+        return pa.RecordBatch.from_pydict({
+            "token": [k[0] for k in counts], "toxic": pa.array([k[1] for k in counts], pa.int32()), "n": list(counts.values()),
+            "met": pa.array([met[k] for k in counts], pa.float64()),
+        })
 
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = set(WORD.findall(text.lower()))
-            counts.update((t, toxic) for t in {t for w in words for t in tokens_of(w)})
+            words = WORD.findall(text.lower())
+            here: Counter = Counter()
+            for word, n in Counter(words).items():
+                for token in tokens_of(word):
+                    here[token, toxic] += n
+            counts.update(here.keys())
+            most = _most(words)
+            for key, n in here.items():
+                met[key] += min(n, most)
             if len(counts) > 300_000:
                 yield out()
                 counts.clear()
+                met.clear()
     if counts:
         yield out()
 
@@ -172,25 +191,61 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return tuple(map(float, w))
 
 
-def _lexicon(learn: DataFrame, shares: dict[int, float]) -> dict[str, float]:
-    """Signed log-odds of tokens between toxic and clean texts, with a Dirichlet prior of both classes' pooled shares."""
-    sizes = {r.toxic: r.n for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+def _hits(learn: DataFrame, model: Model) -> dict[int, tuple[int, int, float]]:
+    """By class: texts, words, and words that have a gain of their own (no more than a text counts of one token)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gains = [model.gains(t) for t in batch.column("text").to_pylist()]
+            own = [min(np.count_nonzero(g != -model.drift), _most(g)) for g in gains]
+            yield pa.RecordBatch.from_pydict({
+                "toxic": batch.column("toxic"), "words": pa.array(map(len, gains), pa.int64()), "own": pa.array(own, pa.float64()),
+            })
+
+    seen = learn.select("text", "toxic").mapInArrow(count, "toxic int, words long, own double").groupBy("toxic")
+    return {r.toxic: (r.n, r.w, r.own) for r in seen.agg(F.count("*").alias("n"), F.sum("words").alias("w"), F.sum("own").alias("own")).collect()}
+
+
+def _lexicon(learn: DataFrame, shares: dict[int, float]) -> tuple[dict[str, float], dict[str, float]]:
+    """Signed log-odds of tokens between toxic and clean texts, with a Dirichlet prior of both classes' pooled shares, and
+    of the same tokens the log ratio of how often they are met among the words, which sets a word that toxic texts repeat
+    apart from one that clean texts hold by chance. The ratio is lowered by its uncertainty, taken from the number of texts
+    because one text may repeat a word."""
+    sizes = _hits(learn, Model({}, {}, 1.0, 1.0, ()))
+    (n_toxic, toxic_words, _), (n_clean, clean_words, _) = (sizes.get(c, (0, 0, 0.0)) for c in (1, 0))
     if not (n_toxic and n_clean):
-        return {}
-    counts = learn.select("text", "toxic").mapInArrow(_presence, "token string, toxic int, n long")
+        return {}, {}
+    counts = learn.select("text", "toxic").mapInArrow(_presence, "token string, toxic int, n long, met double")
+    of = lambda c, k: F.sum(F.when(F.col("toxic") == c, F.col(k)).otherwise(0))
     both = counts.groupBy("token").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
+        of(1, "n").alias("t"), of(0, "n").alias("c"), of(1, "met").alias("tm"), of(0, "met").alias("cm")
     ).where(F.col("t") + F.col("c") >= FEWEST)
-    prior = PRIOR * (n_toxic + n_clean)
-    pooled = F.col("t") * shares[1] + F.col("c") * shares[0]
-    alpha = F.lit(prior) * pooled / (n_toxic * shares[1] + n_clean * shares[0])
-    odds = lambda k, n: F.log((F.col(k) + alpha) / (n + prior - F.col(k) - alpha))
+
+    def alpha(t: str, c: str, toxic: int, clean: int):
+        pooled = F.col(t) * shares[1] + F.col(c) * shares[0]
+        return F.lit(PRIOR * (toxic + clean)) * pooled / (toxic * shares[1] + clean * shares[0])
+
+    prior, texts = PRIOR * (n_toxic + n_clean), alpha("t", "c", n_toxic, n_clean)
+    # Null for a token of all texts, which says nothing.
+    odds = lambda k, n: F.log(F.try_divide(F.col(k) + texts, n + prior - F.col(k) - texts))
     delta = odds("t", n_toxic) - odds("c", n_clean)
-    deviation = F.sqrt(1 / (F.col("t") + alpha) + 1 / (F.col("c") + alpha))
-    sure = both.select("token", delta.alias("delta"), deviation.alias("deviation")).where(F.abs("delta") > Z * F.col("deviation"))
+    deviation = F.sqrt(1 / (F.col("t") + texts) + 1 / (F.col("c") + texts))
+    places, words = PRIOR * (toxic_words + clean_words), alpha("tm", "cm", toxic_words, clean_words)
+    share = lambda k, n: F.log((F.col(k) + words) / (1 + n + places - F.col(k) - words))
+    ratio = share("tm", toxic_words) - share("cm", clean_words)
+    sure = both.select("token", delta.alias("delta"), deviation.alias("deviation"), ratio.alias("ratio")).where(
+        F.abs("delta") > Z * F.col("deviation")
+    )
     rows = sure.orderBy(F.desc(F.abs("delta") / F.col("deviation")), "token").limit(LEXICON).collect()
-    return {r.token: max(-MOST, min(r.delta, MOST)) for r in rows}
+    rates = {r.token: math.copysign(min(abs(r.ratio) - SURE * r.deviation, MOST), r.ratio) for r in rows if abs(r.ratio) - SURE * r.deviation > LEAST}
+    return {r.token: max(-MOST, min(r.delta, MOST)) for r in rows}, rates
+
+
+def _drift(learn: DataFrame, model: Model) -> float:
+    """What a word without a gain says: how much rarer such words are among a toxic text's words, as a logarithm."""
+    hits = _hits(learn, model)
+    plain = {c: math.log((words - own + 1) / (words + 2)) for c, (_, words, own) in hits.items()}
+    return max(DRIFT, plain.get(0, 0.0) - plain.get(1, 0.0)) if model.rates else DRIFT
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -203,7 +258,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample, shares = _sample(docs, labels)
     sample = saved(sample.distinct(), "toxic-sample")
     learn, tune = sample.where(F.col("part") != CALIBRATION), sample.where(F.col("part") == CALIBRATION).select("text", "toxic")
-    model = Model(_lexicon(learn, shares), 1.0, 1.0, (-5.0, 0.0, 0.0, 0.0))
+    model = Model(*_lexicon(learn, shares), 1.0, 1.0, (-5.0, 0.0, 0.0, 0.0))
+    model.drift = _drift(learn, model)
+    model.memory.clear()
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(4 * int(MOST) * STEPS, dtype=np.int64)
