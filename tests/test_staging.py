@@ -120,3 +120,23 @@ def test_wanted_columns_pick_the_same_rows_and_move_no_others(spark):
     assert shuffled and not any("product_sku" in line or "product_name" in line for line in shuffled)
     live = staging.stg_inventory_items(bronze, deletes="tombstone", wanted=("cost",))
     assert live.columns == ["inventory_item_id", "cost"] and live.count() == 3
+
+
+def test_moments_are_shuffled_as_spans_and_come_back(spark):
+    """Ties are settled by the moments as before, also without a start; the shuffle carries the time since the start."""
+    early, late = ts("2023-12-30 00:00:00"), ts("2024-01-03 12:00:00.000001")
+    log = bronze(spark, "orders", order(1, "u", 10, shipped_at=early), order(1, "u", 10, shipped_at=late), order(1, "u", 10),
+                 order(2, "c", 10, shipped_at=early, delivered_at=late), order(2, "c", 10, shipped_at=early))
+    staged = staging.stg_orders(log)
+    columns = ("order_id", "created_at", "shipped_at", "delivered_at", "returned_at")
+    assert sorted(rows(staged.select(*columns))) == [(1, T1, late, None, None), (2, T1, early, late, None)]
+    assert staging.stg_orders(log, wanted=("shipped_at",)).columns == ["order_id", "shipped_at"]
+    assert sorted(rows(staging.stg_orders(log, wanted=("shipped_at",)))) == [(1, late), (2, early)]
+    ranked = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert "(unix_micros(shipped_at" in ranked and "(unix_micros(returned_at" in ranked
+
+    item = {"id": 7, "product_id": 1, "cost": 1.5, "cdc_timestamp": None, "cdc_operation": "c"}
+    stock = bronze(spark, "inventory_items", item | {"sold_at": early}, item | {"sold_at": late}, item | {"id": 8})
+    got = staging.stg_inventory_items(stock).select("inventory_item_id", "created_at", "sold_at")
+    assert sorted(rows(got)) == [(7, None, late), (8, None, None)]
+    assert sorted(rows(staging.stg_inventory_items(stock, wanted=("sold_at",)))) == [(7, late), (8, None)]
