@@ -176,6 +176,22 @@ def test_simhash_query_against_brute_force(spark):
     assert got == {i: (f"{fps[i]:016x}", groups[i]) for i in fps}
 
 
+def test_simhash_signatures_stay_out_of_the_driver(spark, monkeypatch):
+    """Few enough nodes to be broadcast by their size yield 64 times as many signatures, in the query and in the stage."""
+    plans = []
+
+    def seen(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components.components(links)
+
+    monkeypatch.setattr(simhash, "components", seen)
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('word ', id, ' of ', id * 7, ' more') as text")
+    assert simhash.near_groups(docs).count() == 3000
+    corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert len(plans) == 2
+    assert all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in plans)
+
+
 def test_simhash_of_odd_and_empty_tables(spark):
     rows = simhash.near_groups(odd_documents(spark)).collect()
     found = defaultdict(set)

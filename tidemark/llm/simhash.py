@@ -131,12 +131,15 @@ def link(nodes: DataFrame, most: int = MOST_BITS, block: int = BLOCK) -> DataFra
     inside their group and verified on all 64 bits. A group above ``block`` members is cut into blocks, and every
     pair of blocks is a group of its own: each pair still meets, no task gets more than two blocks, and a group yields
     a spanning forest, not its pairs.
+
+    Spark sizes the signatures like the nodes they are exploded from, far too low, and would send them through the
+    driver: the hint keeps both sides of their join in shuffles.
     """
     if most > MOST_BITS:
         raise ValueError("two segments find at most three differing bits")
     keys = signatures(nodes)
     shared = keys.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
-    met = keys.join(shared, "sig")
+    met = keys.join(shared.hint("merge"), "sig")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     dealt = met.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
